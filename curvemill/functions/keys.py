@@ -44,11 +44,12 @@ def classify(col: str | Column, classes: dict[str, list[str]]) -> Column:
     return chosen.otherwise(F.lit(None).cast("string"))
 
 
-def classify_rules(rules: list[tuple[Column, str]], default: str) -> Column:
-    """First rule that holds decides; ``default`` when none does."""
+def classify_rules(rules: list[tuple[str | Column, str]], default: str) -> Column:
+    """First rule that holds decides; ``default`` when none does. Rules may be SQL text."""
     chosen = F
     for condition, name in rules:
-        chosen = chosen.when(condition, F.lit(name))
+        holds = F.expr(condition) if isinstance(condition, str) else condition
+        chosen = chosen.when(holds, F.lit(name))
     return chosen.otherwise(F.lit(default))
 
 

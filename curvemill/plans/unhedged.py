@@ -33,7 +33,7 @@ class UnhedgedRules:
     """Codes and units: ordered segment rules, currency recodes, shift names, divisors."""
 
     tenors: list[int]
-    segment_rules: list[tuple[Column, str]]
+    segment_rules: list[tuple[str | Column, str]]
     default_segment: str
     shift_up: str
     shift_down: str

@@ -86,7 +86,11 @@ def date_context(dates: DataFrame, forecasts: DataFrame, today: Column, *, day:
     forecast = (latest_snapshot(forecasts, watermark=forecast_watermark)
                 .where(F.col(forecast_day) <= today)
                 .orderBy(F.col(forecast_day).desc(), *forecasts.columns).limit(1))
-    return current.drop(watermark).crossJoin(forecast.drop(forecast_watermark))
+    beside = F.struct(*[c for c in forecast.columns if c != forecast_watermark])
+    return (current.drop(watermark)
+            .withColumn("_forecast", forecast.select(beside).scalar())
+            .where("_forecast is not null")
+            .select("*", "_forecast.*").drop("_forecast"))
 
 
 def require_context(context: DataFrame, field: str) -> Row:
