@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions.keys import clean_code, normalize_text, parse_date
-from curvemill.staging import Staged
+from curvemill.staging import Staged, stage
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -34,13 +34,16 @@ def newest_with_ties(df: DataFrame, keys: list[str | Column], order: str) -> Dat
     """All rows that carry the newest ``order`` of their key (dense rank 1).
 
     The newest value per key is an aggregate joined back, not a window over all rows of
-    a key: the join may split a hot key, a window may not.
+    a key: a join may broadcast the few newest values or split a hot key, a window cannot.
+    The aggregate is staged, so that its counted rows decide about the broadcast.
     """
     keyed = df.withColumns({
         f"_key{i}": F.col(k) if isinstance(k, str) else k for i, k in enumerate(keys)})
     names = [f"_key{i}" for i in range(len(keys))]
     newest = keyed.groupBy(*names).agg(F.max(order).alias("_newest"))
     newest = newest.toDF(*[f"_of{n}" for n in names], "_newest")
+    staged = stage(newest, "newest")
+    newest = F.broadcast(staged.df) if staged.fits() else staged.df
     same = [F.col(n).eqNullSafe(F.col(f"_of{n}")) for n in names]
     same.append(F.col(order).eqNullSafe(F.col("_newest")))
     return keyed.join(newest, same, "left_semi").select(*df.columns)

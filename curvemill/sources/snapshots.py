@@ -32,9 +32,9 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     (and broadcasts it) and needs no Python worker to read it.
     """
     types = T.StructType.fromDDL(schema)
-    columns = zip(*dict.fromkeys(rows))
-    table = pa.table([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, types)],
-                     names=types.names)
+    unique = list(dict.fromkeys(rows))
+    table = pa.table([pa.array([r[i] for r in unique], to_arrow_type(f.dataType))
+                      for i, f in enumerate(types)], names=types.names)
     return spark.createDataFrame(table, types)
 
 

@@ -6,6 +6,7 @@ Every explicit broadcast in the library is decided on the row count taken here.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -59,15 +60,19 @@ def join_small(large: DataFrame, small: Staged, on: list[str], spread_by: list[s
                limit: int = BROADCAST_ROWS) -> DataFrame:
     """Inner many-to-many join on a few, possibly hot, key values.
 
-    A small side within ``limit`` rows is broadcast. Beyond it each key is spread over
-    as many slots as there are shuffle partitions: rows of ``large`` go to one slot by
-    the hash of ``spread_by``, rows of ``small`` to all of them, so no key value ends
-    up in a single task.
+    A small side within ``limit`` rows is broadcast. Beyond it every key becomes a square
+    grid of join keys: a row of ``large`` has one grid line (by the hash of ``spread_by``)
+    and is copied along it, a row of ``small`` has one grid column. Each pair meets in
+    exactly one cell, and no key value ends up in a single task.
     """
     if small.fits(limit):
         return large.join(F.broadcast(small.df), on)
-    slots = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = large.withColumn("_slot", F.pmod(F.hash(*spread_by), F.lit(slots)))
-    copies = small.df.withColumn(
-        "_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    return spread.join(copies, [*on, "_slot"]).drop("_slot")
+    partitions = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = math.isqrt(max(partitions - 1, 0)) + 1
+    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    rest = [c for c in small.df.columns if c not in on]
+    lines = large.withColumns({
+        "_line": F.pmod(F.hash(*spread_by), F.lit(side)), "_column": every})
+    columns = small.df.withColumns({
+        "_column": F.pmod(F.hash(*rest), F.lit(side)), "_line": every})
+    return lines.join(columns, [*on, "_line", "_column"]).drop("_line", "_column")

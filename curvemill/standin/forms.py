@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions import calendar as cal
-from curvemill.functions.amounts import zero_if_null
+from curvemill.functions.amounts import total, zero_if_null
 from curvemill.functions.keys import clean_code
 from curvemill.operators import shaping
 from curvemill.operators.curves import (
@@ -58,9 +58,8 @@ def union_of_feeds(t: Tables) -> DataFrame:
                                 feed("N", "legal_id", "program_code", "value")])
     rows = rows.withColumns({"program_code": clean_code("program_code"),
                              "legal_id": F.col("legal_id").try_cast("int")})
-    keys = ["program_code", "legal_id"]
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return curve_totals(rows, keys, "value", "total", 2).join(counted, keys)
+    return rows.groupBy("program_code", "legal_id").agg(
+        F.count(F.lit(1)).alias("n"), total("value", 2).alias("total"))
 
 
 @check("""
@@ -88,14 +87,27 @@ def positional_columns(t: Tables) -> DataFrame:
     return shaping.name_positions(t.part, [3, 5], ["party_type", "amount"])
 
 
-@check("""
+FILL_SQL = """
 SELECT event_id, user_id, last_value(CASE WHEN event_type = 'click' THEN value END IGNORE NULLS)
-  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS click_value FROM events""")
-def forward_fill(t: Tables) -> DataFrame:
+  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS click_value FROM events"""
+
+
+def fill_clicks(t: Tables, hot_rows: int) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts", F.when(
         F.col("event_type") == "click", F.col("value")).alias("click_value"))
     return shaping.forward_fill(rows, ["click_value"], ["ts", "event_id"],
-                                F.to_date("ts"), ["user_id"]).drop("ts")
+                                F.date_trunc("minute", "ts"), ["user_id"], hot_rows).drop("ts")
+
+
+@check(FILL_SQL)
+def forward_fill(t: Tables) -> DataFrame:
+    return fill_clicks(t, shaping.HOT_ROWS)
+
+
+@check(FILL_SQL)
+def forward_fill_in_pieces(t: Tables) -> DataFrame:
+    """The path for keys too large for one task, here taken by every frequent user."""
+    return fill_clicks(t, 65)
 
 
 @check("""
