@@ -126,6 +126,24 @@ def curve_points(df: DataFrame, keys: list[str], tenors: list[int], mask: str, t
         *keys, (F.col("_months").cast("int") / F.lit(12)).alias(tenor), "_point.*")
 
 
+def missing_tenors(exposure: DataFrame, shocks: DataFrame, curve: list[str],
+                   tenors: list[int], masks: tuple[str, str] = ("emask", "smask"),
+                   name: str = "tenors") -> DataFrame:
+    """Sorted tenors (months) per curve that have exposure but no shock in any scenario.
+
+    Works on the masks of curve rows, so nothing is unpivoted.
+    """
+    wanted = exposure.groupBy(*curve).agg(F.bit_or(masks[0]).alias("_wanted"))
+    known = shocks.groupBy(*curve).agg(F.bit_or(masks[1]).alias("_known"))
+    lost = F.col("_wanted").bitwiseAND(
+        F.bitwise_not(F.coalesce("_known", F.lit(0).cast("bigint"))))
+    listed = F.array_compact(F.array(*[
+        F.when(F.col("_lost").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(m))
+        for i, m in enumerate(check_tenors(tenors))]))
+    return (wanted.join(known, curve, "left").select(*curve, lost.alias("_lost"))
+            .where("_lost != 0").select(*curve, listed.alias(name)))
+
+
 def tail_average(tenors: list[int], prefix: str, last: int) -> Column:
     """Mean over the ``last`` longest tenors that hold a value, within a curve row."""
     cells = F.array_compact(F.array(*[

@@ -60,6 +60,12 @@ def incomplete_curves(losses: DataFrame, counts: list[str], expected: int | Colu
     return losses.where(reduce(lambda a, b: a | b, bad))
 
 
+def distinct_counts(df: DataFrame, keys: list[str], columns: Mapping[str, str]) -> DataFrame:
+    """Number of different values per key; ``columns`` maps result names to columns."""
+    return df.groupBy(*keys).agg(*[
+        F.count_distinct(c).alias(name) for name, c in columns.items()])
+
+
 def input_report(inputs: Mapping[str, tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
     """Per input its rows and how many of them meet each named condition, one scan each."""
     parts = []

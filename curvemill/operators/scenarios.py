@@ -127,7 +127,7 @@ def parallel_gamma(df: DataFrame, keys: list[str], shift: str, value: str, up: s
 
 def second_order(gamma: str, shock: str) -> Column:
     """0.5 x gamma x shock squared"""
-    return F.pow(F.col(shock), F.lit(2)) * F.col(gamma) * 0.5
+    return F.col(shock) * F.col(shock) * F.col(gamma) * 0.5
 
 
 def second_order_losses(gammas: Staged, shocks: DataFrame, *, curve: list[str],

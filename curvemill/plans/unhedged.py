@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from curvemill.operators.curves import curve_rows, tenor_months
 from curvemill.operators.scenarios import (
     pair_scenarios, parallel_gamma, scenario_losses, second_order, shock_rows,
     sum_product, with_quantile)
+from curvemill.sources.snapshots import latest_snapshot
 from curvemill.staging import BROADCAST_ROWS, Staged, stage
 
 GROUP = ["market", "segment_name", "issue_currency"]
@@ -28,6 +30,19 @@ LOSS_KEYS = ["segment", "segment_name", "lowest_level_portfolio_name", "issue_cu
 PORTFOLIO = "lowest_level_portfolio_name"
 
 
+@dataclass(frozen=True)
+class UnhedgedInputs:
+    """Sensitivities, shifts and shocks of one quarter with their dimensions."""
+
+    sensitivities: DataFrame
+    tenors: DataFrame
+    shocks: DataFrame
+    hierarchy: DataFrame
+    shifts: DataFrame
+    exclusions: DataFrame
+    average: DataFrame
+
+
 @dataclass(frozen=True)
 class UnhedgedRules:
     """Codes and units: ordered segment rules, currency recodes, shift names, divisors."""
@@ -44,6 +59,26 @@ class UnhedgedRules:
     p: float = 0.95
 
 
+def read_inputs(sensitivities: DataFrame, tenors: DataFrame, shocks: DataFrame,
+                hierarchy: DataFrame, shifts: DataFrame, exclusions: DataFrame,
+                average: DataFrame, quarter: date, markets: list[str], category: str,
+                rules: UnhedgedRules) -> UnhedgedInputs:
+    """Newest loads of one quarter, reduced to these markets outside hedge programmes."""
+    day = F.lit(quarter)
+    unhedged = ((F.col("report_date") == day) & F.col("market").isin(markets)
+                & F.col("hedge_program").isNull())
+    parallel = (F.col("shift_name").isin(rules.shift_up, rules.shift_down)
+                & (F.col("scenario_category") == category))
+    return UnhedgedInputs(
+        sensitivities=latest_snapshot(sensitivities, unhedged),
+        tenors=latest_snapshot(tenors, "is_active"),
+        shocks=latest_snapshot(shocks, F.col("effective_date") == day),
+        hierarchy=latest_snapshot(hierarchy),
+        shifts=latest_snapshot(shifts, unhedged & parallel),
+        exclusions=latest_snapshot(exclusions),
+        average=latest_snapshot(average, F.col("reporting_date") == day))
+
+
 def first_order_points(sensitivities: DataFrame, tenors: DataFrame,
                        scale: int | None = None) -> DataFrame:
     """Sensitivities summed per group and tenor; the tenor follows from the factor code."""

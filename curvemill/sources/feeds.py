@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curvemill.sources.sinks import write_table
+from curvemill.sources.snapshots import read_table
+
 # Smallest value per watermark type: everything is newer than an empty target.
 LOWEST = {
     "date": "DATE'0001-01-01'",
@@ -67,3 +70,15 @@ def active_dimension(rows: DataFrame, lookup: DataFrame, on: Column,
     for condition in active:
         joined = joined.where(condition)
     return joined.dropna(subset=required)
+
+
+def append_newer(source: DataFrame, target: str, watermark: str,
+                 partition_by: str | None = None) -> None:
+    """Append the source rows that are newer than everything in the target table.
+
+    The target must exist. The rows are found and written in one job, whose commit
+    makes them visible together, so a repeated run after a failure adds nothing twice.
+    """
+    loaded = read_table(source.sparkSession, target)
+    write_table(incremental_rows(source, loaded, watermark), target,
+                partition_by=partition_by)

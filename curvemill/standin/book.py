@@ -55,11 +55,15 @@ def per_customer(t: Tables, cells: dict[str, Column], tenors: list[int]) -> Data
 
 
 def customers(t: Tables) -> DataFrame:
-    """Customer with segment, nation, region number and region name."""
-    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    """Customer with segment, nation and region number."""
+    return t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.col("c_mktsegment").alias("segment"),
-        F.col("n_regionkey").alias("currency"), "r_name", "n_nationkey")
+        F.col("n_regionkey").alias("currency"), "n_nationkey")
+
+
+def region_names(df: DataFrame, t: Tables) -> DataFrame:
+    """Region name for the region number of rows that are already summed."""
+    return df.join(t.region, F.col("currency") == F.col("r_regionkey")).drop("r_regionkey")
 
 
 def exposure_rows(t: Tables, keys: list[str]) -> DataFrame:

@@ -28,8 +28,8 @@ def wide_lines(t: Tables) -> DataFrame:
                              F.nullif("l_tax", F.lit(0.0)).alias("012M"))
 
 
-@check(UNPIVOT_SQL)
-def unpivot_curve_totals(t: Tables) -> DataFrame:
+@check(UNPIVOT_SQL, "unpivot_curve")
+def unpivot_totals(t: Tables) -> DataFrame:
     rows = unpivot_curve(wide_lines(t), ["l_returnflag"]) \
         .withColumn("value", zero_if_null("value"))
     return curve_totals(rows, ["l_returnflag", "tenor_years"], "value", "total", 2)
@@ -45,8 +45,8 @@ def wide_curve_totals(t: Tables) -> DataFrame:
 @check("""
 SELECT l_returnflag AS program_code, l_linenumber AS legal_id, count(*) AS n,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-FROM lineitem GROUP BY ALL""")
-def union_of_feeds(t: Tables) -> DataFrame:
+FROM lineitem GROUP BY ALL""", "union_feeds")
+def feed_totals(t: Tables) -> DataFrame:
     def feed(flag: str, *order: str) -> DataFrame:
         code = F.concat(F.lit(" "), F.lower("l_returnflag"), F.lit("  "))
         return t.lineitem.where(F.col("l_returnflag") == flag).select(

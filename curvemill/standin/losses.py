@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from curvemill.functions.amounts import base_rate, net_amount
 from curvemill.functions.keys import classify, normalize_text
-from curvemill.operators.curves import curve_points, tail_average
+from curvemill.operators.curves import curve_points, missing_tenors, tail_average
 from curvemill.operators.lookups import lookup
-from curvemill.operators.quality import incomplete_curves, unmatched_shocks
+from curvemill.operators.quality import distinct_counts, incomplete_curves, unmatched_shocks
 from curvemill.operators.scenarios import (
     class_curve_rows, losses_by_class, quantile_by, scenario_losses, with_quantile)
 from curvemill.sources.snapshots import literal_rows
@@ -145,20 +145,34 @@ def average_tail_shock(t: Tables) -> DataFrame:
                                     tail_average(TENORS, "s", 4).alias("average_shock"))
 
 
-@check(f"""WITH {EXPOSURE_SQL}, {SHOCK_SQL}
+GAPS_SQL = f"""WITH {EXPOSURE_SQL}, {SHOCK_SQL}
 SELECT currency, string_agg(CAST(tenor AS VARCHAR), ',' ORDER BY tenor) AS tenors
 FROM (SELECT DISTINCT currency, tenor FROM exposure
       EXCEPT SELECT currency, tenor FROM shock WHERE tenor <> 36 AND NOT
-             (currency = 2 AND tenor = 60)) GROUP BY currency""")
-def unmatched_shocks_by_currency(t: Tables) -> DataFrame:
+             (currency = 2 AND tenor = 60)) GROUP BY currency"""
+
+
+def shocks_with_gaps(t: Tables) -> DataFrame:
+    return shock_points(t).where("tenor <> 36 and not (currency = 2 and tenor = 60)")
+
+
+@check(GAPS_SQL, "unmatched_shocks")
+def gaps_of_long_curves(t: Tables) -> DataFrame:
     exposure = curve_points(with_mask(exposure_rows(t, GROUP)), GROUP, TENORS, "emask",
                             "years", {"e": "amount"})
     exposure = exposure.select("currency", (F.col("years") * 12).cast("int").alias("tenor"))
-    shocks = shock_points(t).where("tenor <> 36 and not (currency = 2 and tenor = 60)")
-    report = unmatched_shocks(exposure, shocks, ["currency"], "tenor")
+    report = unmatched_shocks(exposure, shocks_with_gaps(t), ["currency"], "tenor")
     return report.select("currency", F.array_join("tenors", ",").alias("tenors"))
 
 
+@check(GAPS_SQL)
+def unmatched_shocks_of_curve_rows(t: Tables) -> DataFrame:
+    report = missing_tenors(with_mask(exposure_rows(t, GROUP)),
+                            scenario_table(t, shocks_with_gaps(t)), ["currency"], TENORS)
+    return report.select("currency", F.array_join(F.transform(
+        "tenors", lambda m: m.cast("string")), ",").alias("tenors"))
+
+
 @check(f"""WITH {EXPOSURE_SQL}, {SHOCK_SQL}
 SELECT segment, currency, scenario, sum(amount * shock ORDER BY tenor) AS loss,
        count(*) AS tenor_count
@@ -169,3 +183,11 @@ def curve_completeness(t: Tables) -> DataFrame:
     rows = scenario_losses(staged_exposure(t), scenario_table(t, shocks), keys=GROUP,
                            curve=["currency"], scenario="scenario", tenors=TENORS)
     return incomplete_curves(rows, ["tenor_count"], len(TENORS))
+
+
+@check(f"""WITH {SHOCK_SQL}
+SELECT currency, count(DISTINCT scenario) AS scenarios, count(DISTINCT tenor) AS tenors
+FROM shock GROUP BY currency""")
+def scenario_counts(t: Tables) -> DataFrame:
+    return distinct_counts(shock_points(t), ["currency"],
+                           {"scenarios": "scenario", "tenors": "tenor"})

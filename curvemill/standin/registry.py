@@ -28,12 +28,13 @@ class Tables:
         return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
-def check(sql: str):
-    """Register a query ``(Tables) -> DataFrame`` under its function name."""
+def check(sql: str, name: str | None = None):
+    """Register a query ``(Tables) -> DataFrame`` under its function name or ``name``."""
 
     def register(query: Callable[[Tables], DataFrame]):
-        QUERIES[query.__name__] = lambda spark, folder: query(Tables(spark, folder))
-        SQL[query.__name__] = sql
+        key = name or query.__name__
+        QUERIES[key] = lambda spark, folder: query(Tables(spark, folder))
+        SQL[key] = sql
         return query
 
     return register

@@ -12,8 +12,8 @@ from curvemill.plans.unhedged import UnhedgedRules
 from curvemill.sources.snapshots import literal_rows
 from curvemill.staging import Staged, stage
 from curvemill.standin.book import (
-    SHOCK_SQL, TENORS, customers, exposure_rows, per_customer, scenario_table, shock_points,
-    with_mask)
+    SHOCK_SQL, TENORS, customers, exposure_rows, per_customer, region_names, scenario_table,
+    shock_points, with_mask)
 from curvemill.standin.registry import Tables, check
 
 CURRENCIES = ["Xaa", "Xbb", "Xcc", "Xdd", "Xee"]
@@ -89,7 +89,7 @@ average AS (SELECT code, scenario, sum(shock ORDER BY tenor DESC) / count(*) AS
                                                ORDER BY tenor DESC) AS n FROM coded)
             WHERE n <= 4 GROUP BY ALL),
 second_amount AS (
-  SELECT gamma.*, scenario, average_shock, pow(average_shock, 2) * gamma * 0.5 AS amount
+  SELECT gamma.*, scenario, average_shock, average_shock * average_shock * gamma * 0.5 AS amount
   FROM gamma JOIN average ON lower(issue_currency) = code),
 second_order AS (
   SELECT *, quantile_disc(amount, 0.95) OVER (
@@ -119,9 +119,10 @@ def currency_code(number: str, upper: bool = True):
 
 def sensitivities(t: Tables) -> DataFrame:
     """Sensitivities by market, segment, currency and factor code."""
-    keys = ["r_name", "segment", "currency"]
+    keys = ["segment", "currency"]
     points = curve_points(with_mask(exposure_rows(t, keys)), keys, TENORS, "emask", "years",
                           {"e": "delta"})
+    points = region_names(points, t)
     factors = F.create_map(*[F.lit(x) for pair in FACTORS.items() for x in pair])
     return points.select(F.col("r_name").alias("market"),
                          F.col("segment").alias("segment_name"),
@@ -144,9 +145,9 @@ def shifts(t: Tables) -> DataFrame:
         sum((F.coalesce(f"{c}{m}", F.lit(0)) for m in TENORS[1:]),
             F.coalesce(f"{c}{TENORS[0]}", F.lit(0))).alias(c) for c in cells])
     grouped = (sums.join(customers(t), F.col("o_custkey") == F.col("c_custkey"))
-               .groupBy("r_name", "segment", "currency")
+               .groupBy("segment", "currency")
                .agg(*[from_units(F.sum(c)).alias(names[c]) for c in cells]))
-    return grouped.select(
+    return region_names(grouped, t).select(
         F.col("r_name").alias("market"), F.col("segment").alias("segment_name"),
         F.col("r_name").alias("country"), currency_code("currency").alias("issue_currency"),
         *names.values(),

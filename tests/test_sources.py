@@ -145,3 +145,21 @@ def test_staged_tables_count_their_rows(spark, tmp_path):
     assert staged.rows == 10 and staged.fits(10) and not staged.fits(9)
     assert staging.shared_folder(spark) in staged.df.inputFiles()[0]
     assert staging.stage(spark.range(0), "none").df.count() == 0
+
+
+class Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(settings.get),
+                                      "set": staticmethod(settings.__setitem__)})
+
+
+def test_shared_folder_is_named_by_the_session():
+    named = Session("spark://host:7077", {"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert staging.shared_folder(named) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="shared by all executors"):
+        staging.shared_folder(Session("spark://host:7077", {}))
+    local = Session("local[2]", {})
+    assert staging.shared_folder(local) == staging.shared_folder(local)
