@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 DAY_FORMAT = "yyyyMMdd"
 
-# Months per period of the refresh frequencies that are counted in months.
+# Months per period of the refresh frequencies that are counted in months.
 FREQUENCY_MONTHS = {"monthly": 1, "quarterly": 3, "semi-annually": 6, "annually": 12}
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from curvemill.functions.amounts import total, zero_if_null
 
+# Fixed value: a tenor column is named by its months, such as 003M.
 TENOR_PATTERN = r"(\d+)M"
 MAX_TENORS = 63
 

@@ -27,6 +27,7 @@ from curvemill.operators.shaping import union_feeds
 from curvemill.sources.snapshots import latest_snapshot, shock_set_for_date
 from curvemill.staging import BROADCAST_ROWS, Staged, stage
 
+# Column names of the feeds, the portfolio map and the result.
 FEED_KEYS = ["asset_type", "inception_date", "program_code", "legal_id",
              "security_currency", "source"]
 TOTAL_KEYS = ["report_date", "program_code", "legal_id", "security_currency"]

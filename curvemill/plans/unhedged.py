@@ -24,6 +24,7 @@ from curvemill.operators.scenarios import (
 from curvemill.sources.snapshots import latest_snapshot
 from curvemill.staging import BROADCAST_ROWS, Staged, stage
 
+# Key columns of the loss tables.
 GROUP = ["market", "segment_name", "issue_currency"]
 LOSS_KEYS = ["segment", "segment_name", "lowest_level_portfolio_name", "issue_currency",
              "segment_issuecurrency"]

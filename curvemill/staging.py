@@ -1,7 +1,7 @@
-"""Intermediate tables in the cluster's shared folder, with their row counts.
+"""Intermediate tables in the cluster's shared folder, with their measured size.
 
-A staged table cuts lineage, survives the loss of executors and has an exact size.
-Every explicit broadcast in the library is decided on the row count taken here.
+A staged table cuts lineage, survives the loss of executors and has a known size.
+Every explicit broadcast in the library is decided on the size taken here.
 """
 
 from __future__ import annotations
@@ -13,23 +13,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Rows of a staged side that may still be copied to every executor. Curve rows hold
-# a few keys and one number per tenor, so this stays in the tens of megabytes.
+# What a staged side may hold at most to be copied to every executor.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+# Types that take one 8-byte word of a row; the others add the length of their text.
+WORD_TYPES = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A written DataFrame and the number of rows that were written."""
+    """A written DataFrame, its number of rows and the bytes of its values."""
 
     df: DataFrame
     rows: int
+    bytes: int
 
     def fits(self, limit: int = BROADCAST_ROWS) -> bool:
-        return self.rows <= limit
+        return self.rows <= limit and self.bytes <= BROADCAST_BYTES
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,22 +53,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> Staged:
-    """Write ``df`` once and read it back; the rows are counted during the write."""
+    """Write ``df`` once and read it back; rows and text are measured during the write."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return Staged(spark.read.schema(df.schema).parquet(path), counted.get["rows"])
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+             for f in df.schema if not isinstance(f.dataType, WORD_TYPES)]
+    text = F.sum(sum(texts, F.lit(0)).cast("bigint"))
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"),
+               F.coalesce(text, F.lit(0)).alias("text")).write.parquet(path)
+    rows = seen.get["rows"]
+    return Staged(spark.read.schema(df.schema).parquet(path), rows,
+                  rows * 8 * len(df.columns) + seen.get["text"])
 
 
 def join_small(large: DataFrame, small: Staged, on: list[str], spread_by: list[str],
                limit: int = BROADCAST_ROWS) -> DataFrame:
     """Inner many-to-many join on a few, possibly hot, key values.
 
-    A small side within ``limit`` rows is broadcast. Beyond it every key becomes a square
-    grid of join keys: a row of ``large`` has one grid line (by the hash of ``spread_by``)
-    and is copied along it, a row of ``small`` has one grid column. Each pair meets in
-    exactly one cell, and no key value ends up in a single task.
+    A small side that fits is broadcast. Beyond that every key becomes a square grid of
+    join keys: a row of ``large`` has one grid line (by the hash of ``spread_by``) and is
+    copied along it, a row of ``small`` has one grid column. Each pair meets in exactly
+    one cell, and no key value ends up in a single task.
     """
     if small.fits(limit):
         return large.join(F.broadcast(small.df), on)

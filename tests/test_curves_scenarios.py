@@ -99,7 +99,7 @@ def test_losses_equal_definition_on_both_join_paths(rows, limit, seed):
 def test_grid_join_meets_every_pair_once(spark, rows):
     large = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("s"))
     small = rows([(i % 2, i) for i in range(40)], "k long, p int")
-    pairs = join_small(large, Staged(small, 40), ["k"], ["s"], limit=10)
+    pairs = join_small(large, Staged(small, 40, 640), ["k"], ["s"], limit=10)
     assert "BroadcastExchange" not in pairs._jdf.queryExecution().sparkPlan().toString()
     assert pairs.count() == pairs.distinct().count() == 2 * 150 * 20
 

@@ -140,9 +140,13 @@ def test_write_appends_and_partitions(spark, rows, tmp_path):
     assert spark.read.parquet(target + "2").count() == 2
 
 
-def test_staged_tables_count_their_rows(spark, tmp_path):
+def test_staged_tables_know_their_size(spark):
     staged = staging.stage(spark.range(10), "ten")
-    assert staged.rows == 10 and staged.fits(10) and not staged.fits(9)
+    assert (staged.rows, staged.bytes) == (10, 80)
+    assert staged.fits(10) and not staged.fits(9)
+    wide = staging.stage(spark.range(70).select(F.repeat(F.lit("x"), 1_000_000).alias("s"),
+                                                F.lit(None).cast("string").alias("n")), "wide")
+    assert wide.bytes == 70 * (1_000_000 + 16) and not wide.fits()
     assert staging.shared_folder(spark) in staged.df.inputFiles()[0]
     assert staging.stage(spark.range(0), "none").df.count() == 0
 
