@@ -20,7 +20,7 @@ HEADLINES = [
     "scenario_loss", "loss_with_quantile", "loss_by_class", "net_exposure",
     "hedged_net_exposure", "hedged_class_losses", "first_order_loss", "gamma_up_down",
     "second_order_loss", "total_loss", "latest_snapshot", "newest_dimension_row",
-    "newest_rate_per_date", "unpivot_curve_totals", "forward_fill", "calendar_columns",
+    "newest_rate_per_date", "unpivot_curve", "forward_fill", "calendar_columns",
 ]
 
 

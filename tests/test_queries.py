@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+import bench
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -42,3 +43,7 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_headlines_are_registered():
+    assert set(bench.HEADLINES) <= set(entry_point.queries())
