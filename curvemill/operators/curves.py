@@ -10,7 +10,6 @@ order, so that doubles come out the same on every run.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,30 +56,28 @@ def check_tenors(tenors: list[int]) -> list[int]:
     return sorted(set(tenors))
 
 
-def curve_rows(df: DataFrame, keys: list[str], tenor: str, value: Column, tenors: list[int],
-               prefix: str, combine=F.sum, strict: bool = True) -> DataFrame:
+def curve_rows(df: DataFrame, keys: list[str], tenor: str, value: str, tenors: list[int],
+               prefix: str, combine: str = "sum", strict: bool = True) -> DataFrame:
     """Long curve to curve rows: one aggregate, one shuffle, reduced on the map side.
 
-    With ``strict`` a tenor that is not declared fails the query rather than being left
-    out; without it such tenors are ignored, which suits the table that is matched
-    against a strict one. Null tenors match nothing and are left out.
+    ``value`` is a column or SQL text, ``combine`` the aggregate for repeated points. With
+    ``strict`` a tenor that is not declared fails the query rather than being left out;
+    without it such tenors are ignored, which suits the table that is matched against a
+    strict one. Null tenors match nothing and are left out.
     """
     tenors = check_tenors(tenors)
-    cells = [combine(F.when(F.col(tenor) == m, value)).cast("double").alias(f"{prefix}{m}")
-             for m in tenors]
-    mask = existing_tenors(F.col(tenor), tenors, strict)
-    return df.groupBy(*keys).agg(*cells, mask.alias(f"{prefix}mask"))
+    cells = [F.expr(f"double({combine}(case when {tenor} = {m} then {value} end)) "
+                    f"as {prefix}{m}") for m in tenors]
+    mask = F.expr(f"{existing_tenors(tenor, tenors, strict)} as {prefix}mask")
+    return df.groupBy(*keys).agg(*cells, mask)
 
 
-def existing_tenors(tenor: Column, tenors: list[int], strict: bool) -> Column:
-    """Aggregate: one bit per declared tenor that occurs in the group."""
-    bit = F
-    for i, m in enumerate(tenors):
-        bit = bit.when(tenor == m, F.lit(1 << i).cast("bigint"))
-    if strict:
-        bit = bit.when(tenor.isNotNull(), F.raise_error(
-            F.concat(F.lit("tenor is not declared: "), tenor.cast("string"))).cast("bigint"))
-    return F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint"))
+def existing_tenors(tenor: str, tenors: list[int], strict: bool) -> str:
+    """Aggregate (SQL text): one bit per declared tenor that occurs in the group."""
+    bits = " ".join(f"when {m} then {1 << i}L" for i, m in enumerate(tenors))
+    other = (f"else if({tenor} is null, null, bigint(raise_error("
+             f"concat('tenor is not declared: ', {tenor}))))") if strict else ""
+    return f"coalesce(bit_or(case {tenor} {bits} {other} end), 0L)"
 
 
 def wide_curve_rows(df: DataFrame, keys: list[str], prefix: str, scale: int | None = None,
@@ -106,9 +103,8 @@ def zero_tenors(df: DataFrame, pattern: str = TENOR_PATTERN) -> DataFrame:
 
 def present_mask(tenors: list[int], prefix: str) -> Column:
     """Bit per tenor whose cell is not null."""
-    bits = [F.when(F.col(f"{prefix}{m}").isNotNull(), F.lit(1 << i).cast("bigint"))
-            .otherwise(F.lit(0).cast("bigint")) for i, m in enumerate(check_tenors(tenors))]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    return F.expr(" | ".join(f"if({prefix}{m} is null, 0L, {1 << i}L)"
+                             for i, m in enumerate(check_tenors(tenors))))
 
 
 def curve_points(df: DataFrame, keys: list[str], tenors: list[int], mask: str, tenor: str,
@@ -119,12 +115,12 @@ def curve_points(df: DataFrame, keys: list[str], tenors: list[int], mask: str, t
     """
     tenors = check_tenors(tenors)
     plain = df.select(*keys, *[
-        F.when(F.col(mask).bitwiseAND(F.lit(1 << i).cast("bigint")) != 0,
-               F.struct(*[F.col(f"{p}{m}").alias(v) for p, v in values.items()]))
-        .alias(str(m)) for i, m in enumerate(tenors)])
-    rows = plain.unpivot(keys, [F.col(f"`{m}`") for m in tenors], "_months", "_point")
+        F.expr("if(({} & {}L) = 0, null, struct({})) as `{}`".format(
+            mask, 1 << i, ", ".join(f"{p}{m} as {v}" for p, v in values.items()), m))
+        for i, m in enumerate(tenors)])
+    rows = plain.unpivot(keys, [f"`{m}`" for m in tenors], "_months", "_point")
     return rows.where("_point is not null").select(
-        *keys, (F.col("_months").cast("int") / F.lit(12)).alias(tenor), "_point.*")
+        *keys, F.expr(f"int(_months) / 12 as {tenor}"), "_point.*")
 
 
 def missing_tenors(exposure: DataFrame, shocks: DataFrame, curve: list[str],
@@ -138,17 +134,16 @@ def missing_tenors(exposure: DataFrame, shocks: DataFrame, curve: list[str],
     known = shocks.groupBy(*curve).agg(F.bit_or(masks[1]).alias("_known"))
     lost = F.col("_wanted").bitwiseAND(
         F.bitwise_not(F.coalesce("_known", F.lit(0).cast("bigint"))))
-    listed = F.array_compact(F.array(*[
-        F.when(F.col("_lost").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(m))
-        for i, m in enumerate(check_tenors(tenors))]))
+    listed = F.expr("array_compact(array({}))".format(", ".join(
+        f"if((_lost & {1 << i}L) = 0, null, {m})"
+        for i, m in enumerate(check_tenors(tenors)))))
     return (wanted.join(known, curve, "left").select(*curve, lost.alias("_lost"))
             .where("_lost != 0").select(*curve, listed.alias(name)))
 
 
 def tail_average(tenors: list[int], prefix: str, last: int) -> Column:
     """Mean over the ``last`` longest tenors that hold a value, within a curve row."""
-    cells = F.array_compact(F.array(*[
-        F.col(f"{prefix}{m}") for m in sorted(tenors, reverse=True)]))
-    tail = F.slice(cells, 1, last)
+    cells = ", ".join(f"{prefix}{m}" for m in sorted(tenors, reverse=True))
+    tail = F.expr(f"slice(array_compact(array({cells})), 1, {last})")
     total = F.aggregate(tail, F.lit(0.0), lambda a, b: a + b)
     return F.when(F.size(tail) > 0, total / F.size(tail))

@@ -19,27 +19,24 @@ from curvemill.staging import BROADCAST_ROWS, Staged, join_small
 def shock_rows(shocks: DataFrame, curve: list[str], scenario: str, tenor: str, shock: str,
                tenors: list[int], prefix: str = "s") -> DataFrame:
     """One curve row per scenario; repeated points keep the greatest shock."""
-    return curve_rows(shocks, [*curve, scenario], tenor, F.col(shock).cast("double"), tenors,
-                      prefix, combine=F.max, strict=False)
+    return curve_rows(shocks, [*curve, scenario], tenor, shock, tenors, prefix,
+                      combine="max", strict=False)
 
 
 def sum_product(tenors: list[int], left: str, right: str) -> Column:
     """Sum over tenors of left x right; null when no tenor has both values."""
-    products = [F.col(f"{left}{m}") * F.col(f"{right}{m}") for m in tenors]
-    total = F.coalesce(products[0], F.lit(0.0))
-    for product in products[1:]:
-        total = total + F.coalesce(product, F.lit(0.0))
-    return F.when(pair_count(tenors, left, right) > 0, total)
+    total = " + ".join(f"coalesce({left}{m} * {right}{m}, 0.0D)" for m in tenors)
+    return F.expr(f"if({_pairs(tenors, left, right)} > 0, {total}, null)")
 
 
 def pair_count(tenors: list[int], left: str, right: str) -> Column:
     """Number of tenors with both values."""
-    both = [F.when(F.col(f"{left}{m}").isNotNull() & F.col(f"{right}{m}").isNotNull(), 1)
-            .otherwise(0) for m in tenors]
-    total = both[0]
-    for one in both[1:]:
-        total = total + one
-    return total.cast("bigint")
+    return F.expr(f"bigint({_pairs(tenors, left, right)})")
+
+
+def _pairs(tenors: list[int], left: str, right: str) -> str:
+    both = " + ".join(f"if({left}{m} is null or {right}{m} is null, 0, 1)" for m in tenors)
+    return f"({both})"
 
 
 def pair_scenarios(exposure: Staged, shocks: DataFrame, curve: list[str], scenario: str,
@@ -69,9 +66,12 @@ def class_curve_rows(rows: DataFrame, keys: list[str], class_column: str,
     Block i has the prefix ``c{i}_``. The mask covers the rows of every class, listed or
     not, so a key without any listed class still meets its scenarios and reports nulls.
     """
-    cells = [F.sum(F.when(F.col(class_column) == name, F.col(f"{prefix}{m}")))
-             .cast("double").alias(f"c{i}_{m}")
-             for i, name in enumerate(classes) for m in tenors]
+    number = F
+    for i, name in enumerate(classes):
+        number = number.when(F.col(class_column) == name, F.lit(i))
+    rows = rows.withColumn("_class", number)
+    cells = [F.expr(f"double(sum(if(_class = {i}, {prefix}{m}, null))) as c{i}_{m}")
+             for i in range(len(classes)) for m in tenors]
     return rows.groupBy(*keys).agg(*cells, F.bit_or(mask).alias("emask"))
 
 

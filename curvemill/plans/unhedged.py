@@ -94,7 +94,7 @@ def first_order_rows(points: DataFrame, rules: UnhedgedRules) -> Staged:
     """Curve rows per group after the currency recode, staged."""
     coded = points.withColumn("issue_currency",
                               recode("issue_currency", dict(rules.currency_codes)))
-    rows = curve_rows(coded, GROUP, "tenor_months", F.col("sum_post_tax"), rules.tenors, "e")
+    rows = curve_rows(coded, GROUP, "tenor_months", "sum_post_tax", rules.tenors, "e")
     return stage(rows.withColumn("currency", F.upper("issue_currency")), "first-order")
 
 

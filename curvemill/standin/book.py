@@ -37,20 +37,23 @@ shock AS (
   FROM events GROUP BY ALL)"""
 
 
-def per_customer(t: Tables, cells: dict[str, Column], tenors: list[int]) -> DataFrame:
+def per_customer(t: Tables, cells: dict[str, str], tenors: list[int]) -> DataFrame:
     """Cents of line items per customer, one column per cell and tenor of the order.
 
+    ``cells`` maps a prefix to the condition (SQL text) of the line items it sums.
+
     Line items are summed per order and orders per customer before each join, so every
     join has one row per key on both sides and the hottest key costs one row per task.
     """
     lines = t.lineitem.groupBy("l_orderkey").agg(
-        *[F.sum(F.when(on, units("l_extendedprice"))).alias(n) for n, on in cells.items()])
+        *[F.sum(F.when(F.expr(on), units("l_extendedprice"))).alias(n)
+          for n, on in cells.items()])
     orders = t.orders.select(
         "o_orderkey", "o_custkey",
         (F.substring("o_orderpriority", 1, 1).cast("int") * 12).alias("tenor"))
     return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")) \
         .groupBy("o_custkey").agg(*[
-            F.sum(F.when(F.col("tenor") == m, F.col(n))).alias(f"{n}{m}")
+            F.expr(f"sum(case when tenor = {m} then {n} end) as {n}{m}")
             for n in cells for m in tenors])
 
 
@@ -68,7 +71,7 @@ def region_names(df: DataFrame, t: Tables) -> DataFrame:
 
 def exposure_rows(t: Tables, keys: list[str]) -> DataFrame:
     """Curve rows of the whole book: one aggregate per grain, exact until the last cast."""
-    sums = per_customer(t, {"e": F.lit(True)}, TENORS)
+    sums = per_customer(t, {"e": "true"}, TENORS)
     return (sums.join(customers(t), F.col("o_custkey") == F.col("c_custkey"))
             .groupBy(*keys)
             .agg(*[from_units(F.sum(f"e{m}")).alias(f"e{m}") for m in TENORS]))

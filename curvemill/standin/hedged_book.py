@@ -72,8 +72,7 @@ net AS (SELECT *, total_dv01 * fx_rate * (1 - tax_rate) AS sum_partial_dv01 FROM
 
 def feeds(t: Tables) -> list[DataFrame]:
     """Three wide feeds, one per return flag; two of them lack the longest tenor."""
-    flags = ["A", "N", "R"]
-    cells = {f.lower(): F.col("l_returnflag") == f for f in flags}
+    cells = {f: f"lower(l_returnflag) = '{f}'" for f in "anr"}
     sums = per_customer(t, cells, TENORS)
     wide = (sums.join(customers(t), F.col("o_custkey") == F.col("c_custkey"))
             .groupBy("segment", "currency", "n_nationkey")

@@ -138,12 +138,11 @@ def shocks(t: Tables) -> DataFrame:
 
 def shifts(t: Tables) -> DataFrame:
     """Shift sensitivities by market, segment, country and currency."""
-    cells = {"a": F.col("l_returnflag") == "A", "r": F.col("l_returnflag") == "R"}
+    cells = {"a": "l_returnflag = 'A'", "r": "l_returnflag = 'R'"}
     names = {"a": "SHIFT_UP", "r": "SHIFT_DOWN"}
     sums = per_customer(t, cells, TENORS)
     sums = sums.select("o_custkey", *[
-        sum((F.coalesce(f"{c}{m}", F.lit(0)) for m in TENORS[1:]),
-            F.coalesce(f"{c}{TENORS[0]}", F.lit(0))).alias(c) for c in cells])
+        F.expr(" + ".join(f"coalesce({c}{m}, 0L)" for m in TENORS)).alias(c) for c in cells])
     grouped = (sums.join(customers(t), F.col("o_custkey") == F.col("c_custkey"))
                .groupBy("segment", "currency")
                .agg(*[from_units(F.sum(c)).alias(names[c]) for c in cells]))

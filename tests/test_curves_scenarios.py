@@ -39,11 +39,11 @@ def test_wide_rows_equal_long_totals(rows):
 def test_undeclared_tenor_fails_on_the_strict_side(rows):
     df = rows([("k", 3, 1.0), ("k", 24, 1.0)], "key string, t int, v double")
     with pytest.raises(Exception, match="tenor is not declared: 24"):
-        curves.curve_rows(df, ["key"], "t", F.col("v"), TENORS, "e").collect()
-    kept = curves.curve_rows(df, ["key"], "t", F.col("v"), TENORS, "s", strict=False)
+        curves.curve_rows(df, ["key"], "t", "v", TENORS, "e").collect()
+    kept = curves.curve_rows(df, ["key"], "t", "v", TENORS, "s", strict=False)
     assert as_tuples(kept) == [("k", 1.0, None, None, 1)]
     with pytest.raises(ValueError):
-        curves.curve_rows(df, ["key"], "t", F.col("v"), list(range(64)), "e")
+        curves.curve_rows(df, ["key"], "t", "v", list(range(64)), "e")
 
 
 def test_tail_average(rows):
@@ -87,8 +87,7 @@ def test_losses_equal_definition_on_both_join_paths(rows, limit, seed):
     exposure, shocks = random_book(seed)
     e = rows(exposure, "portfolio string, currency string, tenor int, amount double")
     s = rows(shocks, "currency string, scenario int, tenor int, shock double")
-    book = stage(curves.curve_rows(e, ["portfolio", "currency"], "tenor", F.col("amount"),
-                                   TENORS, "e"), "book")
+    book = stage(curves.curve_rows(e, ["portfolio", "currency"], "tenor", "amount", TENORS, "e"), "book")
     table = scenarios.shock_rows(s, ["currency"], "scenario", "tenor", "shock", TENORS)
     found = scenarios.scenario_losses(
         book, table, keys=["portfolio", "currency"], curve=["currency"],
@@ -108,8 +107,7 @@ def one_book(rows, shocks):
     e = rows([("p", "A", 3, 1.0), ("p", "A", 6, 2.0), ("p", "A", 12, 3.0)],
              "portfolio string, currency string, tenor int, amount double")
     s = rows(shocks, "currency string, scenario int, tenor int, shock double")
-    book = stage(curves.curve_rows(e, ["portfolio", "currency"], "tenor", F.col("amount"),
-                                   TENORS, "e"), "book")
+    book = stage(curves.curve_rows(e, ["portfolio", "currency"], "tenor", "amount", TENORS, "e"), "book")
     table = scenarios.shock_rows(s, ["currency"], "scenario", "tenor", "shock", TENORS)
     return as_tuples(scenarios.scenario_losses(
         book, table, keys=["portfolio"], curve=["currency"], scenario="scenario",
@@ -128,8 +126,7 @@ def test_losses_by_class_add_up_and_empty_class_is_null(rows):
     e = rows([("x", "A", "Bond", 3, 1.0), ("x", "A", "Bank", 3, 2.0), ("x", "A", None, 3, 9.0),
               ("y", "A", None, 6, 1.0)],
              "key string, currency string, class string, tenor int, amount double")
-    fine = curves.curve_rows(e, ["key", "currency", "class"], "tenor", F.col("amount"),
-                             TENORS, "e")
+    fine = curves.curve_rows(e, ["key", "currency", "class"], "tenor", "amount", TENORS, "e")
     blocks = scenarios.class_curve_rows(fine, ["key", "currency"], "class",
                                         ["Bond", "Bank", "Liability"], TENORS, "e", "emask")
     s = rows([("A", 7, 3, 10.0), ("A", 7, 6, 1.0)],
