@@ -72,6 +72,21 @@ def active_dimension(rows: DataFrame, lookup: DataFrame, on: Column,
     return joined.dropna(subset=required)
 
 
+def newest_stamp(target: DataFrame, watermark: str):
+    """Greatest watermark of a table on the driver; None for an empty table."""
+    return target.agg(F.max(watermark)).first()[0]
+
+
+def rows_since(source: DataFrame, watermark: str, stamp) -> DataFrame:
+    """Source rows newer than a known stamp; all rows without one.
+
+    For sources that cannot take a subquery: a database gets the stamp as a literal in
+    its own WHERE clause and sends the new rows only.
+    """
+    newer = F.col(watermark).isNotNull() if stamp is None else F.col(watermark) > F.lit(stamp)
+    return source.where(newer)
+
+
 def append_newer(source: DataFrame, target: str, watermark: str,
                  partition_by: str | None = None) -> None:
     """Append the source rows that are newer than everything in the target table.

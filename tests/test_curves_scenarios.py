@@ -169,3 +169,30 @@ def test_total_needs_both_orders(rows):
     plain = scenarios.total_losses(first, second, ["k"], "s")
     loose = scenarios.total_losses(first, second, ["k"], "s", normalized={"k": F.lower("k")})
     assert as_tuples(plain) == [] and as_tuples(loose) == [("a", 1, 11.0)]
+
+
+def test_invariants(rows):
+    exposure, shocks = random_book(3)
+    s = rows(shocks, "currency string, scenario int, tenor int, shock double")
+    table = scenarios.shock_rows(s, ["currency"], "scenario", "tenor", "shock", TENORS)
+
+    def losses(points):
+        e = rows([(p, "odd" if int(p[1]) % 2 else "even", c, t, a) for p, c, t, a in points],
+                 "portfolio string, class string, currency string, tenor int, amount double")
+        fine = curves.curve_rows(e, ["currency", "class"], "tenor", "amount", TENORS, "e")
+        blocks = scenarios.class_curve_rows(fine, ["currency"], "class", ["odd", "even"],
+                                            TENORS, "e", "emask")
+        whole = curves.curve_rows(e, ["currency"], "tenor", "amount", TENORS, "e")
+        given = dict(keys=["currency"], curve=["currency"], scenario="scenario", tenors=TENORS)
+        split = scenarios.losses_by_class(stage(blocks, "b"), table, multiplier=1.0,
+                                          columns={"odd": "o", "even": "e"}, **given)
+        total = scenarios.scenario_losses(stage(whole, "w"), table, **given)
+        return ({(r["currency"], r["scenario"]): (r["o"] or 0.0) + (r["e"] or 0.0)
+                 for r in split.collect()},
+                {(r["currency"], r["scenario"]): r["loss"] for r in total.collect()})
+
+    known = [r for r in exposure if r[3] is not None]
+    split, total = losses(known)
+    assert split == total and len(total) > 20
+    tripled = losses([(*r[:3], 3 * r[3]) for r in known])[1]
+    assert tripled == {k: 3 * v for k, v in total.items()}

@@ -88,6 +88,19 @@ def test_incremental_rows(rows, kind, low, high):
     assert feeds.incremental_rows(source, loaded.where("false"), "w").count() == 2
 
 
+def test_rows_since_a_stamp_are_pushed_to_the_source(spark, rows, tmp_path):
+    loaded = rows([(date(2026, 1, 1),), (date(2026, 1, 3),)], "w date")
+    path = str(tmp_path / "source")
+    rows([(date(2026, 1, d),) for d in (2, 3, 4)], "w date").write.parquet(path)
+    source = spark.read.parquet(path)
+    stamp = feeds.newest_stamp(loaded, "w")
+    found = feeds.rows_since(source, "w", stamp)
+    assert as_tuples(found) == [(date(2026, 1, 4),)]
+    assert "GreaterThan(w,2026-01-03)" in found._jdf.queryExecution().executedPlan().toString()
+    assert feeds.newest_stamp(loaded.where("false"), "w") is None
+    assert feeds.rows_since(source, "w", None).count() == 3
+
+
 def test_incremental_rows_rejects_odd_watermarks(rows):
     df = rows([(True,)], "w boolean")
     with pytest.raises(ValueError):
