@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from curvemill.plans import hedged, unhedged
+from curvemill.plans import hedged, hedged_gamma, unhedged
 from curvemill.staging import stage
 from tests.conftest import as_tuples
 
@@ -193,3 +193,25 @@ def test_gamma_and_totals_on_every_path(rows):
         expected = [("WEST", "Seg A", "Book A", "usd", "WESTusd", 1, 6.0),
                     ("WEST", "Seg A", "Book A", "usd", "WESTusd", 2, 7.0)]
         assert as_tuples(joined) == as_tuples(combined) == expected
+
+
+def test_hedged_gamma_inputs(rows):
+    after = date(2026, 4, 1)
+    summary = rows([(QUARTER, "H1", 1, 1), (QUARTER, "H1", 1, 2), (QUARTER, None, 1, 3),
+                    (QUARTER, "H1", 0, 3), (after, "H1", 1, 3)],
+                   "report_date date, hedge_program string, is_derivatives int, "
+                   "ingestion_ts int")
+    observed = rows([(after, "H1", 1), (after, "H2", 2), (QUARTER, "H1", 3)],
+                    "report_date date, hedge_program string, ingestion_ts int")
+
+    def dated(column, day):
+        return rows([(day, 1), (date(2025, 12, 31), 2)], f"{column} date, ingestion_ts int")
+
+    parts = [summary, observed, dated("effective_date", after), dated("as_of_date", QUARTER),
+             dated("reporting_date", QUARTER)]
+    got = hedged_gamma.read_inputs(*parts, QUARTER, "H1")
+    assert as_tuples(got.derivatives) == [(QUARTER, "H1", 1, 2)]
+    assert as_tuples(got.sensitivities) == [(after, "H1", 1)]
+    assert [d.count() for d in (got.proportions, got.cash_flows, got.forward_curve)] == [1] * 3
+    with pytest.raises(ValueError, match="empty: sensitivities"):
+        hedged_gamma.read_inputs(*parts, QUARTER, "H3")
