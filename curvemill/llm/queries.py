@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvemill.llm import (html_text, leaks, licenses, lm, neardup, packing, pii, quality,
-                           secrets, sharding)
+                           secrets, sharding, sql)
 from curvemill.llm.common import table
 
 SHARDS = 24
@@ -118,4 +118,4 @@ QUERIES = {q.__name__: q for q in (
     op6_hypergeometric_shards, op7_license_scan, op8_odd_sketch_dedup,
     op9_positional_decontamination, op10_host_quality, pipeline)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(sql.SQL)
