@@ -9,8 +9,10 @@ down, and the rests beyond that are laid end to end and cut where a window ends.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -31,15 +33,19 @@ COMMON = regex.compile(r"[\t-\r\x20-\x7e\xa0-ɏ]*")
 
 
 def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+    """The tokenizer and the pieces that it knows, kept in a worker from task to task."""
+    kept = sys.modules.setdefault("_curvemill_kept", ModuleType("_curvemill_kept")).__dict__
+    if path not in kept:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        kept[path] = Tokenizer.from_file(path), {}
+    return kept[path]
 
 
 def encoder(path: str):
     """Text -> little-endian ids. Pieces of the pre-split are remembered; a text with rare
     signs or a special token goes through the tokenizer as a whole."""
-    tok, known = tokenizer(path), {}
+    tok, known = tokenizer(path)
 
     def whole(text: str) -> bytes:
         return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
