@@ -13,15 +13,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvemill.llm.common import Written, bind, fresh, lower_ascii, write
+from curvemill.llm.common import Written, fresh, lower_ascii, write
 
 WINDOW = 10
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def spaced_words(text: Column) -> Column:
+    """Lower-case words of digits, a-z and all signs beyond ASCII, joined by blanks."""
+    return F.btrim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), NO_WORD, " "))
+
+
 def signs_words(text: Column) -> Column:
-    """Lower-case words of digits, a-z and all signs beyond ASCII; none for a null."""
-    spaced = F.btrim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), NO_WORD, " "))
+    """The words as an array; none for a null."""
+    spaced = spaced_words(text)
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(
         F.split(spaced, " "))
 
@@ -49,10 +54,25 @@ def windows_of(items: DataFrame, item: str, text: str, length: int = WINDOW) ->
         "item", F.slice("w", F.col("s"), F.lit(length)).alias("words")).distinct()
 
 
-def build_index(docs: DataFrame, key: str, text: str, items: DataFrame, item: str,
-                item_text: str, length: int = WINDOW) -> Index:
+def tokens_of(docs: DataFrame, key: str, text: str, keep: list[str], row: str, tokens: str,
+              n_words: str) -> DataFrame:
+    """The columns ``keep`` with the row key, the words joined by blanks and their number.
+
+    Written once: all later passes only split at blanks.
+    """
+    joined = docs.select(*keep, row_key(key, text).alias(row),
+                         spaced_words(F.col(text)).alias(tokens))
+    blanks = F.char_length(tokens) - F.char_length(F.replace(tokens, F.lit(" "), F.lit("")))
+    return write(joined.withColumn(n_words, F.when(F.col(tokens) == "", 0).otherwise(
+        blanks + 1).cast("bigint")), "leak-tokens").df
+
+
+def build_index(tokens: DataFrame, items: DataFrame, item: str, item_text: str,
+                length: int = WINDOW) -> Index:
     """Count the test terms in all training texts, pick the rarest, store their postings.
 
+    ``tokens``: row and tokens, the words of a text joined by blanks.
+
     Test terms and search terms are measured when written and only copied to all tasks up
     to ``common.COPY_ROWS`` and ``COPY_BYTES``; a larger set meets the tokens in a shuffle
     join. Surroundings are the words that any window around the posting can cover.
@@ -62,8 +82,7 @@ def build_index(docs: DataFrame, key: str, text: str, items: DataFrame, item: st
         "window", F.md5(F.concat_ws(" ", "words").cast("binary")))
     terms = write(texts.select(F.explode("words").alias("term")).distinct(), "leak-terms",
                   ("term",))
-    words = docs.select(row_key(key, text).alias("row"),
-                        signs_words(F.col(text)).alias("words"))
+    words = tokens.where("tokens <> ''").select("row", F.split("tokens", " ").alias("words"))
     counts = words.select(F.explode("words").alias("term")).join(terms.copied(), "term") \
         .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     placed = texts.select("window", "words", F.posexplode("words").alias("offset", "term"))
@@ -137,7 +156,10 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     the same result each; an empty table on either side gives no hits.
     """
     keep = docs.columns if keep is None else keep
-    index = build_index(docs, key, text, items, item, item_text)
+    row, words, leak = fresh(docs, "row"), fresh(docs, "tokens"), fresh(docs, "leak")
+    stored = tokens_of(docs, key, text, keep, row, words, leak)
+    index = build_index(stored.select(F.col(row).alias("row"), F.col(words).alias("tokens")),
+                        items, item, item_text)
     matches = write(phrase_matches(index), "leak-matches", ("row",)).df
     places = matches.select("row", "start", "n").distinct().select(
         "row", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("p"))
@@ -147,11 +169,8 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     found = hits.join(named.groupBy("row").agg(F.array_sort(F.collect_list(
         F.col("item").cast("string"))).alias("items")), "row", "left")
     found = write(found, "leak-found", ("row",)).copied()
-    row, leak = fresh(docs, "row"), fresh(docs, "leak")
     found = found.withColumnsRenamed({"row": f"_{row}", "n_hit": f"_{row}_n", "items": f"_{row}_i"})
-    counted = docs.select(*keep, row_key(key, text).alias(row),
-                          bind(signs_words(F.col(text)), F.size).cast("bigint").alias(leak))
-    joined = counted.join(found, F.col(row) == F.col(f"_{row}"), "left")
+    joined = stored.drop(words).join(found, F.col(row) == F.col(f"_{row}"), "left")
     items_ = F.coalesce(F.col(f"_{row}_i"), F.array().cast("array<string>"))
     return joined.select(*keep, F.struct(
         F.col(leak).alias("n_words"), F.coalesce(f"_{row}_n", F.lit(0)).cast("bigint")
