@@ -33,6 +33,11 @@ class Written:
         return F.broadcast(self.df) if small else self.df
 
 
+    def gathered(self) -> DataFrame:
+        """In one partition if it is small, so that rounds over it need no shuffle."""
+        return self.df.coalesce(1) if self.rows <= COPY_ROWS else self.df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
