@@ -39,7 +39,7 @@ def unpivot_curve(df: DataFrame, keys: list[str], tenor: str = "tenor_years",
     """Wide tenor columns to rows of (keys, tenor in years, value); null values stay."""
     columns = tenor_columns(df, pattern)
     plain = df.select(*keys, *[
-        F.col(f"`{c}`").cast("double").alias(str(m)) for m, c in columns.items()])
+        F.col(f"`{c}`").try_cast("double").alias(str(m)) for m, c in columns.items()])
     rows = plain.unpivot(keys, [F.col(f"`{m}`") for m in columns], "_months", value)
     return rows.select(*keys, (F.col("_months").cast("int") / F.lit(12)).alias(tenor), value)
 
@@ -88,7 +88,7 @@ def wide_curve_rows(df: DataFrame, keys: list[str], prefix: str, scale: int | No
     key delivers stays absent.
     """
     columns = tenor_columns(df, pattern)
-    cells = [total(F.col(f"`{c}`").cast("double"), scale).alias(f"{prefix}{m}")
+    cells = [total(F.col(f"`{c}`").try_cast("double"), scale).alias(f"{prefix}{m}")
              for m, c in columns.items()]
     totals = df.groupBy(*keys).agg(*cells)
     tenors = check_tenors(list(columns))
@@ -97,7 +97,7 @@ def wide_curve_rows(df: DataFrame, keys: list[str], prefix: str, scale: int | No
 
 def zero_tenors(df: DataFrame, pattern: str = TENOR_PATTERN) -> DataFrame:
     """A wide feed with zeros for the nulls in its own tenor columns."""
-    return df.withColumns({c: zero_if_null(F.col(f"`{c}`").cast("double"))
+    return df.withColumns({c: zero_if_null(F.col(f"`{c}`").try_cast("double"))
                            for c in tenor_columns(df, pattern).values()})
 
 

@@ -84,7 +84,7 @@ def rates_by_date(rates: DataFrame, currency: str, rate: str, day: str, fmt: str
     """One rate per currency and date: the newest load wins, unparsed dates are dropped."""
     rows = rates.select(
         clean_code(currency).alias("fx_currency"),
-        parse_date(day, dict(rates.dtypes)[day], fmt).alias("fx_date"),
+        parse_date(day, rates.select(day).dtypes[0][1], fmt).alias("fx_date"),
         F.col(rate).try_cast("double").alias("fx_rate"), F.col(load_stamp).alias("_stamp"))
     rows = rows.where("fx_date is not null")
     return newest_per_key(rows, ["fx_currency", "fx_date"], ["_stamp"]).drop("_stamp")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvemill.operators.curves import curve_rows
@@ -43,7 +43,7 @@ def pair_scenarios(exposure: Staged, shocks: DataFrame, curve: list[str], scenar
                    masks: tuple[str, str] = ("emask", "smask"),
                    limit: int = BROADCAST_ROWS) -> DataFrame:
     """Every exposure row beside every scenario of its curve that shares a tenor."""
-    pairs = join_small(shocks, exposure, curve, [scenario], limit)
+    pairs = join_small(shocks, exposure, curve, limit)
     return pairs.where(F.col(masks[0]).bitwiseAND(F.col(masks[1])) != 0)
 
 
@@ -94,12 +94,31 @@ def losses_by_class(exposure: Staged, shocks: DataFrame, *, keys: list[str],
 
 def quantile_by(losses: DataFrame, keys: list[str], amount: str, quantile: str,
                 p: float = 0.95, accuracy: int = 10_000) -> DataFrame:
-    """Quantile per group, without interpolation.
+    """Quantile per group, without interpolation: the value of rank ceil(p * rows), exactly.
 
-    Sketches are merged from the map side, so no group is gathered in one task.
+    A sketch, merged from the map side, gives a bracket around the rank for each group. A
+    second pass counts what lies below it and ranks only the values inside, a share of
+    4 / ``accuracy`` of the rows, so no group is gathered in one task.
     """
-    return losses.groupBy(*keys).agg(
-        F.percentile_approx(amount, p, accuracy).alias(quantile))
+    names = [f"_key{i}" for i in range(len(keys))]
+    values = losses.where(F.col(amount).isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(amount).alias("_value"))
+    ends = F.array(F.lit(max(p - 2 / accuracy, 0.0)), F.lit(min(p + 2 / accuracy, 1.0)))
+    near = values.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_value", ends, accuracy).alias("_ends"))
+    near = near.select(*[F.col(n).alias(f"_{n}") for n in names], F.ceil(
+        F.round(F.col("_n") * F.lit(p), 6)).alias("_rank"),
+        F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
+    same = [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]
+    cells = values.join(near, same).where("_value <= _high").groupBy(
+        *names, F.when(F.col("_value") >= F.col("_low"), F.col("_value")).alias("_inside")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("_rank").alias("_rank"))
+    upto = Window.partitionBy(*names).orderBy(F.col("_inside").asc_nulls_first())
+    ranked = cells.withColumn("_upto", F.sum("_rows").over(upto))
+    found = ranked.groupBy(*names).agg(F.min(F.when(
+        (F.col("_upto") >= F.greatest("_rank", F.lit(1))), F.col("_inside"))).alias(quantile))
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], quantile)
 
 
 def with_quantile(losses: DataFrame, keys: list[str], amount: str, quantile: str,
@@ -136,7 +155,7 @@ def second_order_losses(gammas: Staged, shocks: DataFrame, *, curve: list[str],
                         quantile: str = "quantile", p: float = 0.95,
                         limit: int = BROADCAST_ROWS) -> DataFrame:
     """Second-order amount per key and scenario, with the quantile of the key."""
-    pairs = join_small(shocks, gammas, curve, [scenario], limit)
+    pairs = join_small(shocks, gammas, curve, limit)
     losses = pairs.select(*gammas.df.columns, scenario, shock,
                           second_order(gamma, shock).alias(amount))
     return with_quantile(losses, keys, amount, quantile, p, small=gammas.fits(limit))

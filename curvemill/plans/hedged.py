@@ -92,7 +92,7 @@ def shocks_for(net: DataFrame, shocks: DataFrame, not_after: bool = False) -> Da
 
 def _cleaned(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "inception_date": F.to_date("inception_date"),
+        "inception_date": F.try_to_date("inception_date"),
         "program_code": clean_code("program_code"),
         "security_currency": clean_code("security_currency"),
         "legal_id": F.col("legal_id").try_cast("int")})

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curvemill.functions.keys import normalize_text
 from curvemill.operators import quality
 from curvemill.operators.curves import missing_tenors
 from curvemill.plans import hedged, unhedged
@@ -96,5 +97,6 @@ def run_unhedged(inputs: UnhedgedInputs, rules: UnhedgedRules, write: Writer) ->
     scenarios = unhedged.with_average(shocks, inputs.average)
     write(unhedged.combined_losses(exposure, gamma, inputs.hierarchy, scenarios, rules),
           "total")
-    repeated = quality.duplicate_keys(inputs.hierarchy, ["segment_name"])
+    repeated = quality.duplicate_keys(inputs.hierarchy.select(
+        normalize_text("segment_name").alias("segment_name")), ["segment_name"])
     return JobReport({"repeated segments": repeated}, {})

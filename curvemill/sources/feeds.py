@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curvemill.sources.sinks import write_table
 from curvemill.sources.snapshots import read_table
@@ -25,13 +26,29 @@ def read_delimited(spark: SparkSession, folder: str, schema: str, pattern: str |
                    date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Delimited files of a folder whose names match ``pattern``, under a declared schema.
 
-    A declared schema reads the files once; inference would read them twice.
+    A declared schema reads the files once; inference would read them twice. With a header
+    that holds all names of the schema the columns are found by name, in any order and case.
+    Other names in the header are renamed by position, but a name of the schema at another
+    position then fails. The result has the names and order of the schema.
     """
-    reader = (spark.read.schema(schema).option("header", header).option("sep", delimiter)
+    reader = (spark.read.option("header", header).option("sep", delimiter)
               .option("dateFormat", date_format))
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.csv(folder)
+    if not header:
+        return reader.schema(schema).csv(folder)
+    fields = T.StructType.fromDDL(schema).fields
+    names = [c.strip().lower() for c in reader.csv(folder).columns]
+    declared = [f.name.lower() for f in fields]
+    if names == declared or not set(names) & set(declared):
+        return reader.schema(schema).csv(folder)
+    if set(names) == set(declared):
+        found = T.StructType([fields[declared.index(n)] for n in names])
+        return reader.schema(found).csv(folder).select(*[f.name for f in fields])
+    if len(names) != len(declared) or any(
+            n in declared and n != d for n, d in zip(names, declared)):
+        raise ValueError(f"The header has {names}, the schema {declared}")
+    return reader.schema(schema).csv(folder)
 
 
 def read_database(spark: SparkSession, url: str, table: str, *, split_by: str | None = None,
@@ -52,7 +69,7 @@ def incremental_rows(source: DataFrame, target: DataFrame, watermark: str,
 
     The limit is a scalar subquery, so a Parquet source gets it as a pushed filter.
     """
-    kind = dict(target.dtypes)[target_watermark or watermark]
+    kind = target.select(target_watermark or watermark).dtypes[0][1]
     if kind not in LOWEST:
         raise ValueError(f"A {kind} column cannot serve as watermark")
     newest = target.agg(F.coalesce(F.max(target_watermark or watermark),

@@ -6,8 +6,6 @@ Every explicit broadcast in the library is decided on the size taken here.
 
 from __future__ import annotations
 
-import math
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -40,16 +38,14 @@ class Staged:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    Without that setting it is a folder beside the session's tables, which a cluster shares
+    as well.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="curvemill-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse')}/_staged"
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> Staged:
@@ -67,23 +63,14 @@ def stage(df: DataFrame, name: str) -> Staged:
                   rows * 8 * len(df.columns) + seen.get["text"])
 
 
-def join_small(large: DataFrame, small: Staged, on: list[str], spread_by: list[str],
+def join_small(large: DataFrame, small: Staged, on: list[str],
                limit: int = BROADCAST_ROWS) -> DataFrame:
     """Inner many-to-many join on a few, possibly hot, key values.
 
-    A small side that fits is broadcast. Beyond that every key becomes a square grid of
-    join keys: a row of ``large`` has one grid line (by the hash of ``spread_by``) and is
-    copied along it, a row of ``small`` has one grid column. Each pair meets in exactly
-    one cell, and no key value ends up in a single task.
+    A small side that fits is broadcast. Beyond that it is a shuffle join in which the large
+    side moves once: adaptive execution splits the partitions of hot keys and reads only the
+    other side's partition again for each split.
     """
     if small.fits(limit):
         return large.join(F.broadcast(small.df), on)
-    partitions = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = math.isqrt(max(partitions - 1, 0)) + 1
-    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
-    rest = [c for c in small.df.columns if c not in on]
-    lines = large.withColumns({
-        "_line": F.pmod(F.hash(*spread_by), F.lit(side)), "_column": every})
-    columns = small.df.withColumns({
-        "_column": F.pmod(F.hash(*rest), F.lit(side)), "_line": every})
-    return lines.join(columns, [*on, "_line", "_column"]).drop("_line", "_column")
+    return large.join(small.df, on)

@@ -191,3 +191,10 @@ FROM shock GROUP BY currency""")
 def scenario_counts(t: Tables) -> DataFrame:
     return distinct_counts(shock_points(t), ["currency"],
                            {"scenarios": "scenario", "tenors": "tenor"})
+
+
+@check("""
+SELECT l_returnflag, quantile_disc(l_extendedprice, 0.95) AS quantile FROM lineitem
+GROUP BY l_returnflag""")
+def price_quantile(t: Tables) -> DataFrame:
+    return quantile_by(t.lineitem, ["l_returnflag"], "l_extendedprice", "quantile")

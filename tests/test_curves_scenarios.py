@@ -98,7 +98,7 @@ def test_losses_equal_definition_on_both_join_paths(rows, limit, seed):
 def test_grid_join_meets_every_pair_once(spark, rows):
     large = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("s"))
     small = rows([(i % 2, i) for i in range(40)], "k long, p int")
-    pairs = join_small(large, Staged(small, 40, 640), ["k"], ["s"], limit=10)
+    pairs = join_small(large, Staged(small, 40, 640), ["k"], limit=10)
     assert "BroadcastExchange" not in pairs._jdf.queryExecution().sparkPlan().toString()
     assert pairs.count() == pairs.distinct().count() == 2 * 150 * 20
 
@@ -196,3 +196,12 @@ def test_invariants(rows):
     assert split == total and len(total) > 20
     tripled = losses([(*r[:3], 3 * r[3]) for r in known])[1]
     assert tripled == {k: 3 * v for k, v in total.items()}
+
+
+def test_quantile_of_a_large_group_is_exact(spark):
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") % 3 == 0, "a").alias("g"), (F.col("id") * 7919 % 100_003 / 7).alias("v"))
+    got = {r.g: r.q for r in scenarios.quantile_by(rows, ["g"], "v", "q").collect()}
+    for g in ("a", None):
+        v = sorted(r.v for r in rows.where(F.col("g").eqNullSafe(F.lit(g))).collect())
+        assert got[g] == v[-(-95 * len(v) // 100) - 1]

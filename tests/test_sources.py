@@ -180,3 +180,16 @@ def test_shared_folder_is_named_by_the_session():
         staging.shared_folder(Session("spark://host:7077", {}))
     local = Session("local[2]", {})
     assert staging.shared_folder(local) == staging.shared_folder(local)
+
+
+def test_delimited_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("RATE_B,RATE_A\n2.0,1.0\n")
+    rows = feeds.read_delimited(spark, str(tmp_path), "rate_a double, rate_b double")
+    assert rows.columns == ["rate_a", "rate_b"] and tuple(rows.first()) == (1.0, 2.0)
+    with pytest.raises(ValueError, match="The header has"):
+        feeds.read_delimited(spark, str(tmp_path), "rate_a double, other double")
+
+
+def test_watermark_names_match_in_any_case(spark):
+    source = spark.createDataFrame([(1,), (3,)], "Ingestion_TS int")
+    assert feeds.incremental_rows(source, source.limit(1), "INGESTION_TS").count() == 1
