@@ -157,11 +157,11 @@ def render(top: Node) -> list[str]:
     todo: list[tuple] = [("open", c, False) for c in reversed(top.children)]
     while todo:
         step, node, pre = todo.pop()
-        if step == "text" or isinstance(node, str):
-            out.text(node, pre)
-        elif step == "close":
+        if step == "close":
             out.feed()
             out.gap = out.gap or node in SPACED
+        elif isinstance(node, str):
+            out.text(node, pre)
         elif node.hidden():
             continue
         elif node.tag == "br":
