@@ -1,6 +1,6 @@
 """The two analytics as jobs: check the inputs, compute, write every result once.
 
-A result that feeds the next step is staged, so nothing is computed twice. Checks come
+A result that feeds the next step is staged, so only staged tables are reused. Checks come
 back as report tables, or as counts taken while a result is written.
 """
 
