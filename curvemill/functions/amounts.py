@@ -7,9 +7,17 @@ from pyspark.sql import functions as F
 
 
 def units(col: str | Column, scale: int = 2) -> Column:
-    """Amount as a whole number of its smallest unit (cents for two decimals)."""
+    """Amount as a whole number of its smallest unit (cents for two decimals).
+
+    An amount with more decimals fails the query rather than being rounded; only what a
+    double cannot hold of a decimal fraction is forgiven.
+    """
     col = F.col(col) if isinstance(col, str) else col
-    return F.rint(col * 10**scale).cast("bigint")
+    exact = col * 10**scale
+    off = F.abs(exact - F.rint(exact)) > F.greatest(F.lit(1e-6), F.abs(exact) * 1e-14)
+    return F.when(off, F.raise_error(F.concat(
+        F.lit(f"more than {scale} decimals: "), col.cast("string"))).cast("bigint")) \
+        .otherwise(F.rint(exact).cast("bigint"))
 
 
 def from_units(col: str | Column, scale: int = 2) -> Column:

@@ -6,14 +6,9 @@ import re
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvemill.staging import stage
-
-# Rows of one key above which its window group is cut into pieces.
-HOT_ROWS = 5_000_000
-
 
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Fail early when a mandatory column is absent."""
@@ -75,52 +70,31 @@ def tagged_union(feeds: Mapping[str, DataFrame], tag: str) -> DataFrame:
 
 
 def forward_fill(df: DataFrame, columns: list[str], order: list[str], chunk: Column,
-                 keys: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 keys: list[str] | None = None) -> DataFrame:
     """Replace nulls by the last earlier value of the same key, in the given order.
 
-    A key with at most ``hot_rows`` rows is one window group. The rows of a larger key are
-    cut into consecutive pieces by ``chunk`` (a minute, a range of positions), which must
-    grow with ``order``. What a piece inherits from the pieces before it comes from one
-    summary row per piece, reduced on the map side; that row is put in front of the piece
-    and the window runs inside the piece only. Either way the rows are shuffled once.
+    The rows of a key are cut into consecutive pieces by ``chunk`` (a day, a range of
+    positions), which must grow with ``order``; where two pieces overlap the query fails.
+    What a piece inherits from the pieces before it comes from one summary row per piece,
+    reduced on the map side; that row is put in front of the piece and the window runs
+    inside the piece only. Small and large keys take the same way, no task holds more of the
+    rows than one piece, and the rows are shuffled once.
     """
     keys = keys or []
-    pieces = _mark_hot(df, keys, hot_rows)
-    if pieces is None:
-        return _fill(df, columns, Window.partitionBy(*keys).orderBy(*order))
-    pieces = pieces.withColumns({"_chunk": F.when(F.col("_hot"), chunk), "_body": F.lit(1)})
+    pieces = df.withColumns({"_chunk": chunk, "_body": F.lit(1)})
     position = F.struct(*order)
-    last = pieces.where("_hot").groupBy(*keys, "_chunk").agg(*[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(position, F.col(c)))).getField(c)
-        .alias(c) for c in columns])
+    last = pieces.groupBy(*keys, "_chunk").agg(
+        F.min(position).alias("_from"), F.max(position).alias("_to"), *[
+            F.max(F.when(F.col(c).isNotNull(), F.struct(position, F.col(c)))).getField(c)
+            .alias(c) for c in columns])
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1)
-    heads = last.select(*keys, "_chunk", F.lit(0).alias("_body"), *[
+    overlap = F.max("_to").over(earlier) > F.col("_from")
+    heads = last.select(*keys, "_chunk", F.when(overlap, F.raise_error(F.lit(
+        "chunk does not grow with the order")).cast("int")).otherwise(0).alias("_body"), *[
         F.last(c, ignorenulls=True).over(earlier).alias(c) for c in columns])
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_body", *order)
-    filled = _fill(pieces.unionByName(heads, allowMissingColumns=True), columns, inside)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_body", *order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    filled = pieces.unionByName(heads, allowMissingColumns=True).withColumns(
+        {c: F.last(c, ignorenulls=True).over(inside) for c in columns})
     return filled.where("_body = 1").select(*df.columns)
-
-
-def _fill(df: DataFrame, columns: list[str], window: WindowSpec) -> DataFrame:
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
-
-
-def _mark_hot(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """``df`` with a flag for the rows of keys above ``hot_rows``; None without such keys.
-
-    The counts need the key columns only. The keys found are few, as each holds more than
-    ``hot_rows`` rows, and their number is checked before they are broadcast.
-    """
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")) \
-        .where(F.col("_rows") > hot_rows)
-    hot = stage(found.toDF(*[f"_key_{k}" for k in keys], "_rows"), "hot-keys")
-    if hot.rows == 0:
-        return None
-    if not keys:
-        return df.withColumn("_hot", F.lit(True))
-    side = F.broadcast(hot.df) if hot.fits() else hot.df
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    return df.join(side, same, "left").select(
-        *df.columns, F.col("_rows").isNotNull().alias("_hot"))

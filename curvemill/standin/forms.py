@@ -92,22 +92,22 @@ SELECT event_id, user_id, last_value(CASE WHEN event_type = 'click' THEN value E
   OVER (PARTITION BY user_id ORDER BY ts, event_id) AS click_value FROM events"""
 
 
-def fill_clicks(t: Tables, hot_rows: int) -> DataFrame:
+def fill_clicks(t: Tables, piece: str) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts", F.when(
         F.col("event_type") == "click", F.col("value")).alias("click_value"))
     return shaping.forward_fill(rows, ["click_value"], ["ts", "event_id"],
-                                F.date_trunc("minute", "ts"), ["user_id"], hot_rows).drop("ts")
+                                F.date_trunc(piece, "ts"), ["user_id"]).drop("ts")
 
 
 @check(FILL_SQL)
 def forward_fill(t: Tables) -> DataFrame:
-    return fill_clicks(t, shaping.HOT_ROWS)
+    return fill_clicks(t, "month")
 
 
 @check(FILL_SQL)
 def forward_fill_in_pieces(t: Tables) -> DataFrame:
-    """The path for keys too large for one task, here taken by every frequent user."""
-    return fill_clicks(t, 65)
+    """The same in many small pieces."""
+    return fill_clicks(t, "minute")
 
 
 @check("""

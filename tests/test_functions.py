@@ -125,3 +125,11 @@ def test_exact_total_does_not_depend_on_order(spark):
     df = spark.range(20000).select((F.col("id") % 1000 / 100 + 0.1).alias("v"), "id")
     sums = {df.repartition(n).agg(amounts.total("v", 2)).first()[0] for n in (1, 3, 7, 8)}
     assert sums == {(sum(i % 1000 + 10 for i in range(20000))) / 100}
+
+
+def test_amounts_beyond_their_scale_fail(rows):
+    df = rows([(0.1,), (0.25,), (None,), (123456789012.35,)], "x double")
+    assert [r.u for r in df.select(amounts.units("x", 2).alias("u")).collect()] == [
+        10, 25, None, 12345678901235]
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        rows([(0.004,)], "x double").select(amounts.total("x", 2).alias("u")).collect()

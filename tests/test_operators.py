@@ -57,26 +57,29 @@ def filled(data):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 20, 0])
-def test_forward_fill_equals_a_walk(rows, hot_rows):
+@pytest.mark.parametrize("piece", [1000, 7, 1])
+def test_forward_fill_equals_a_walk(rows, piece):
     r = random.Random(5)
     data = [(r.choice(["hot", "hot", "hot", "x", None]), i,
              r.choice([None, None, i]), r.choice([None, None, None, str(i)]))
             for i in range(300)]
     df = rows(data, "k string, pos int, a int, b string")
-    found = shaping.forward_fill(df, ["a", "b"], ["pos"], F.floor(F.col("pos") / 7), ["k"],
-                                 hot_rows)
+    found = shaping.forward_fill(df, ["a", "b"], ["pos"], F.floor(F.col("pos") / piece), ["k"])
     assert as_tuples(found) == filled(data)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 0])
-def test_forward_fill_of_a_whole_sheet(rows, hot_rows):
+def test_forward_fill_of_a_whole_sheet(rows):
     df = rows([(1, "a"), (2, None), (3, None), (4, "b"), (5, None)], "pos int, v string")
-    found = shaping.forward_fill(df, ["v"], ["pos"], F.floor(F.col("pos") / 2),
-                                 hot_rows=hot_rows)
+    found = shaping.forward_fill(df, ["v"], ["pos"], F.floor(F.col("pos") / 2))
     assert as_tuples(found) == [(1, "a"), (2, "a"), (3, "a"), (4, "b"), (5, "b")]
 
 
+def test_forward_fill_fails_where_pieces_overlap(rows):
+    df = rows([(1, "a"), (2, None), (3, None)], "pos int, v string")
+    with pytest.raises(Exception, match="chunk does not grow"):
+        shaping.forward_fill(df, ["v"], ["pos"], F.col("pos") % 2).collect()
+
+
 def test_shaping_helpers(rows):
     df = rows([("1", "x"), ("bad", None)], "`Old Name` string, tag string")
     df = shaping.rename_columns(df, ["Old Name"], ["new.name/1"])
