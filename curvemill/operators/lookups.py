@@ -79,6 +79,13 @@ def rates_by_currency(rates: DataFrame, currency: str, rate: str) -> DataFrame:
     return rows.groupBy("fx_currency").agg(F.max("fx_rate").alias("fx_rate"))
 
 
+def unparsed_dates(df: DataFrame, day: str, fmt: str, count: str = "rows") -> DataFrame:
+    """Values of a date column that cannot be read, with their number of rows."""
+    parsed = parse_date(day, df.select(day).dtypes[0][1], fmt)
+    return df.where(F.col(day).isNotNull() & parsed.isNull()).groupBy(day).agg(
+        F.count(F.lit(1)).alias(count))
+
+
 def rates_by_date(rates: DataFrame, currency: str, rate: str, day: str, fmt: str,
                   load_stamp: str) -> DataFrame:
     """One rate per currency and date: the newest load wins, unparsed dates are dropped."""

@@ -18,6 +18,13 @@ def require_rows(inputs: Mapping[str, DataFrame]) -> None:
         raise ValueError(f"The following input tables are empty: {', '.join(empty)}")
 
 
+def empty_inputs(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per input: its name and whether it is empty; each probe reads one row."""
+    return reduce(DataFrame.union, [
+        df.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))
+        .select(F.lit(name).alias("input"), "is_empty") for name, df in inputs.items()])
+
+
 def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
     """Fail when a lookup key occurs twice, which would multiply the rows it is joined to."""
     first = duplicate_keys(df, keys).limit(1).collect()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curvemill.functions.calendar import refresh_due
 from curvemill.sources.sinks import write_table
-from curvemill.sources.snapshots import read_table
+from curvemill.sources.snapshots import WATERMARK, read_table
 
 # Smallest value per watermark type: everything is newer than an empty target.
 LOWEST = {
@@ -90,8 +93,15 @@ def active_dimension(rows: DataFrame, lookup: DataFrame, on: Column,
 
 
 def newest_stamp(target: DataFrame, watermark: str):
-    """Greatest watermark of a table on the driver; None for an empty table."""
-    return target.agg(F.max(watermark)).first()[0]
+    """Greatest watermark of a table on the driver; None for an empty table.
+
+    A timestamp comes with its zone, so that it means the same moment as a literal.
+    """
+    newest = target.agg(F.max(watermark).alias("newest"))
+    stamp = newest.first()[0]
+    if stamp is not None and isinstance(newest.schema["newest"].dataType, T.TimestampType):
+        return stamp.astimezone(timezone.utc)
+    return stamp
 
 
 def rows_since(source: DataFrame, watermark: str, stamp) -> DataFrame:
@@ -108,9 +118,27 @@ def append_newer(source: DataFrame, target: str, watermark: str,
                  partition_by: str | None = None) -> None:
     """Append the source rows that are newer than everything in the target table.
 
-    The target must exist. The rows are found and written in one job, whose commit
-    makes them visible together, so a repeated run after a failure adds nothing twice.
+    The target must exist. Its newest stamp is read first and goes to the source as a literal,
+    so a database or a Parquet source sends the new rows only. One job writes them, whose
+    commit makes them visible together: a repeated run after a failure adds nothing twice.
     """
-    loaded = read_table(source.sparkSession, target)
-    write_table(incremental_rows(source, loaded, watermark), target,
-                partition_by=partition_by)
+    stamp = newest_stamp(read_table(source.sparkSession, target), watermark)
+    write_table(rows_since(source, watermark, stamp), target, partition_by=partition_by)
+
+
+def rows_if_due(source: DataFrame, loaded: DataFrame, frequency: str, today: Column,
+                watermark: str = WATERMARK) -> DataFrame:
+    """All source rows when a new load is due, none otherwise; nothing runs before."""
+    newest = loaded.agg(F.max(watermark).cast("date")).scalar()
+    return source.where(refresh_due(newest, today, frequency))
+
+
+def refresh_dimension(source: DataFrame, target: str, frequency: str, today: Column,
+                      stamp: Column, watermark: str = WATERMARK) -> bool:
+    """Append a stamped copy of the source to an existing table if its newest load is due."""
+    newest = read_table(source.sparkSession, target).agg(
+        F.max(watermark).cast("date").alias("newest"))
+    due = newest.select(refresh_due("newest", today, frequency)).first()[0]
+    if due:
+        write_table(source.withColumn(watermark, stamp), target)
+    return due

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,11 @@ from curvemill.operators.lookups import lookup
 from curvemill.operators.shaping import tagged_union
 from curvemill.sources import sinks
 from curvemill.sources import snapshots
-from curvemill.sources.feeds import active_dimension
+from curvemill.operators.lookups import unparsed_dates
+from curvemill.operators.quality import empty_inputs as empty_report
+from curvemill.sources.feeds import active_dimension, read_delimited, rows_if_due
 from curvemill.sources.feeds import incremental_rows as newer_rows
+from curvemill.staging import shared_folder
 from curvemill.standin.registry import Tables, check
 
 DESKS = [("1-URGENT", "F", "rush"), ("1-URGENT", "O", "rush"), ("2-HIGH", "F", "day"),
@@ -148,3 +152,60 @@ def dimension_refresh_due(t: Tables) -> DataFrame:
              "half_yearly": "semi-annually", "yearly": "annually"}
     return loads.select("c_custkey", "last_load", *[
         refresh_due("last_load", today, f).alias(n) for n, f in names.items()])
+
+
+@check("""
+WITH loads AS (SELECT max(CAST(o_orderdate AS DATE)) AS last_load FROM orders)
+SELECT 'later day' AS today, c_custkey, c_name FROM customer, loads
+WHERE last_load < DATE '2001-07-15'
+UNION ALL SELECT 'same day', c_custkey, c_name FROM customer, loads WHERE last_load < last_load
+UNION ALL SELECT 'no load yet', c_custkey, c_name FROM customer
+WHERE (SELECT max(o_orderdate) FROM orders WHERE o_totalprice < 0) IS NULL""")
+def refresh_if_due(t: Tables) -> DataFrame:
+    """A dimension is loaded whole when its refresh is due, else not at all."""
+    loads = t.orders.select("o_totalprice", F.col("o_orderdate").alias("ingestion_ts"))
+    last = loads.agg(F.max("ingestion_ts").cast("date")).scalar()
+    source = t.customer.select("c_custkey", "c_name")
+    return tagged_union({
+        "later day": rows_if_due(source, loads, "daily", F.lit(date(2001, 7, 15))),
+        "same day": rows_if_due(source, loads, "daily", last),
+        "no load yet": rows_if_due(source, loads.where("o_totalprice < 0"), "annually", last),
+    }, "today")
+
+
+@check("SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def csv_round_trip(t: Tables) -> DataFrame:
+    """Written with a header in another order and case, read back under the schema."""
+    folder = f"{shared_folder(t.spark)}/csv-{uuid.uuid4().hex}"
+    t.customer.select(F.col("c_mktsegment").alias("C_MKTSEGMENT"), "c_acctbal", "c_custkey",
+                      "c_name").write.option("header", True).csv(folder)
+    names = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]
+    kinds = dict(t.customer.dtypes)
+    return read_delimited(t.spark, folder, ", ".join(f"{n} {kinds[n]}" for n in names))
+
+
+@check("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def partitioned_round_trip(t: Tables) -> DataFrame:
+    folder = f"{shared_folder(t.spark)}/orders-{uuid.uuid4().hex}"
+    sinks.write_table(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), folder,
+                      partition_by="o_orderstatus")
+    return snapshots.read_table(t.spark, folder)
+
+
+@check("""
+SELECT 'orders' AS input, count(*) = 0 AS is_empty FROM orders
+UNION ALL SELECT 'free orders', count(*) = 0 FROM orders WHERE o_totalprice < 0
+UNION ALL SELECT 'events', count(*) = 0 FROM events""")
+def empty_inputs(t: Tables) -> DataFrame:
+    return empty_report({"orders": t.orders, "free orders": t.orders.where("o_totalprice < 0"),
+                         "events": t.events})
+
+
+@check("""
+WITH given AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 'day ' || o_orderpriority
+                           ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
+SELECT day, count(*) AS n FROM given WHERE day LIKE 'day %' GROUP BY day""")
+def unparsed_rates(t: Tables) -> DataFrame:
+    day = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("day "), "o_orderpriority")) \
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return unparsed_dates(t.orders.select(day.alias("day")), "day", "yyyy-MM-dd", "n")
