@@ -1,8 +1,8 @@
 """Curves: wide tenor columns, long curves and curve rows.
 
 A *curve row* holds one key and one column per declared tenor (prefix + months), with a
-bit mask of the tenors that exist. Tenors are whole months, at most 63 of them. Curve
-rows let a sum-product over tenors be an expression inside one row: scenario tables are
+bit mask of the tenors that exist. Tenors are whole months, in any number: a mask takes one
+column per 63 of them (``emask``, ``emask_1``, ...). Curve rows let a sum-product over tenors be an expression inside one row: scenario tables are
 neither multiplied by the number of tenors nor aggregated again, and sums run in tenor
 order, so that doubles come out the same on every run.
 """
@@ -18,7 +18,7 @@ from curvemill.functions.amounts import total, zero_if_null
 
 # Fixed value: a tenor column is named by its months, such as 003M.
 TENOR_PATTERN = r"(\d+)M"
-MAX_TENORS = 63
+MASK_BITS = 63
 
 
 def tenor_columns(df: DataFrame, pattern: str = TENOR_PATTERN) -> dict[int, str]:
@@ -51,11 +51,29 @@ def curve_totals(df: DataFrame, keys: list[str], value: str, name: str,
 
 
 def check_tenors(tenors: list[int]) -> list[int]:
-    if not tenors or len(tenors) > MAX_TENORS:
-        raise ValueError(f"Between 1 and {MAX_TENORS} tenors are needed, got {len(tenors)}")
+    if not tenors:
+        raise ValueError("A curve needs at least one tenor")
     return sorted(set(tenors))
 
 
+def mask_names(mask: str, tenors: list[int]) -> list[str]:
+    """The columns of a mask over these tenors."""
+    return [mask if i == 0 else f"{mask}_{i}" for i in range(-(-len(tenors) // MASK_BITS))]
+
+
+def mask_columns(df: DataFrame, mask: str) -> list[str]:
+    """The columns of a mask that ``df`` holds."""
+    found = [mask]
+    while f"{mask}_{len(found)}" in df.columns:
+        found.append(f"{mask}_{len(found)}")
+    return found
+
+
+def _bit(i: int) -> tuple[int, int]:
+    """Number of the mask column and value of the bit of the i-th tenor."""
+    return i // MASK_BITS, 1 << i % MASK_BITS
+
+
 def curve_rows(df: DataFrame, keys: list[str], tenor: str, value: str, tenors: list[int],
                prefix: str, combine: str = "sum", strict: bool = True) -> DataFrame:
     """Long curve to curve rows: one aggregate, one shuffle, reduced on the map side.
@@ -68,13 +86,17 @@ def curve_rows(df: DataFrame, keys: list[str], tenor: str, value: str, tenors: l
     tenors = check_tenors(tenors)
     cells = [F.expr(f"double({combine}(case when {tenor} = {m} then {value} end)) "
                     f"as {prefix}{m}") for m in tenors]
-    mask = F.expr(f"{existing_tenors(tenor, tenors, strict)} as {prefix}mask")
-    return df.groupBy(*keys).agg(*cells, mask)
+    masks = [F.expr(existing_tenors(tenor, tenors, strict and i == 0, i)).alias(name)
+             for i, name in enumerate(mask_names(f"{prefix}mask", tenors))]
+    return df.groupBy(*keys).agg(*cells, *masks)
 
 
-def existing_tenors(tenor: str, tenors: list[int], strict: bool) -> str:
-    """Aggregate (SQL text): one bit per declared tenor that occurs in the group."""
-    bits = " ".join(f"when {m} then {1 << i}L" for i, m in enumerate(tenors))
+def existing_tenors(tenor: str, tenors: list[int], strict: bool, column: int = 0) -> str:
+    """Aggregate (SQL text): one bit per declared tenor that occurs in the group, for the
+    tenors of one mask column."""
+    places = {m: _bit(i) for i, m in enumerate(tenors)}
+    bits = " ".join(f"when {m} then {bit if at == column else 0}L"
+                    for m, (at, bit) in places.items())
     other = (f"else if({tenor} is null, null, bigint(raise_error("
              f"concat('tenor is not declared: ', {tenor}))))") if strict else ""
     return f"coalesce(bit_or(case {tenor} {bits} {other} end), 0L)"
@@ -92,7 +114,7 @@ def wide_curve_rows(df: DataFrame, keys: list[str], prefix: str, scale: int | No
              for m, c in columns.items()]
     totals = df.groupBy(*keys).agg(*cells)
     tenors = check_tenors(list(columns))
-    return totals.withColumn(f"{prefix}mask", present_mask(tenors, prefix)), tenors
+    return totals.withColumns(present_masks(tenors, prefix)), tenors
 
 
 def zero_tenors(df: DataFrame, pattern: str = TENOR_PATTERN) -> DataFrame:
@@ -101,10 +123,12 @@ def zero_tenors(df: DataFrame, pattern: str = TENOR_PATTERN) -> DataFrame:
                            for c in tenor_columns(df, pattern).values()})
 
 
-def present_mask(tenors: list[int], prefix: str) -> Column:
-    """Bit per tenor whose cell is not null."""
-    return F.expr(" | ".join(f"if({prefix}{m} is null, 0L, {1 << i}L)"
-                             for i, m in enumerate(check_tenors(tenors))))
+def present_masks(tenors: list[int], prefix: str) -> dict[str, Column]:
+    """The columns of a mask with a bit per tenor whose cell is not null."""
+    places = {m: _bit(i) for i, m in enumerate(check_tenors(tenors))}
+    return {name: F.expr(" | ".join(f"if({prefix}{m} is null, 0L, {bit}L)"
+                                    for m, (at, bit) in places.items() if at == i))
+            for i, name in enumerate(mask_names(f"{prefix}mask", list(places)))}
 
 
 def curve_points(df: DataFrame, keys: list[str], tenors: list[int], mask: str, tenor: str,
@@ -114,10 +138,11 @@ def curve_points(df: DataFrame, keys: list[str], tenors: list[int], mask: str, t
     ``values`` maps each prefix to the name its values get in the long curve.
     """
     tenors = check_tenors(tenors)
+    names = mask_names(mask, tenors)
     plain = df.select(*keys, *[
         F.expr("if(({} & {}L) = 0, null, struct({})) as `{}`".format(
-            mask, 1 << i, ", ".join(f"{p}{m} as {v}" for p, v in values.items()), m))
-        for i, m in enumerate(tenors)])
+            names[at], bit, ", ".join(f"{p}{m} as {v}" for p, v in values.items()), m))
+        for m, (at, bit) in ((m, _bit(i)) for i, m in enumerate(tenors))])
     rows = plain.unpivot(keys, [f"`{m}`" for m in tenors], "_months", "_point")
     return rows.where("_point is not null").select(
         *keys, F.expr(f"int(_months) / 12 as {tenor}"), "_point.*")
@@ -130,15 +155,21 @@ def missing_tenors(exposure: DataFrame, shocks: DataFrame, curve: list[str],
 
     Works on the masks of curve rows, so nothing is unpivoted.
     """
-    wanted = exposure.groupBy(*curve).agg(F.bit_or(masks[0]).alias("_wanted"))
-    known = shocks.groupBy(*curve).agg(F.bit_or(masks[1]).alias("_known"))
-    lost = F.col("_wanted").bitwiseAND(
-        F.bitwise_not(F.coalesce("_known", F.lit(0).cast("bigint"))))
+    tenors = check_tenors(tenors)
+    wanted_names, known_names = (mask_names(m, tenors) for m in masks)
+    wanted = exposure.groupBy(*curve).agg(
+        *[F.bit_or(c).alias(f"_wanted{i}") for i, c in enumerate(wanted_names)])
+    known = shocks.groupBy(*curve).agg(
+        *[F.bit_or(c).alias(f"_known{i}") for i, c in enumerate(known_names)])
+    lost = [F.col(f"_wanted{i}").bitwiseAND(
+        F.bitwise_not(F.coalesce(f"_known{i}", F.lit(0).cast("bigint")))).alias(f"_lost{i}")
+        for i in range(len(wanted_names))]
     listed = F.expr("array_compact(array({}))".format(", ".join(
-        f"if((_lost & {1 << i}L) = 0, null, {m})"
-        for i, m in enumerate(check_tenors(tenors)))))
-    return (wanted.join(known, curve, "left").select(*curve, lost.alias("_lost"))
-            .where("_lost != 0").select(*curve, listed.alias(name)))
+        f"if((_lost{at} & {bit}L) = 0, null, {m})"
+        for m, (at, bit) in ((m, _bit(i)) for i, m in enumerate(tenors)))))
+    some = " or ".join(f"_lost{i} != 0" for i in range(len(lost)))
+    return (wanted.join(known, curve, "left").select(*curve, *lost)
+            .where(some).select(*curve, listed.alias(name)))
 
 
 def tail_average(tenors: list[int], prefix: str, last: int) -> Column:

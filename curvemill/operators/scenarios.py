@@ -8,19 +8,20 @@ the joined row, so nothing is aggregated after the join.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvemill.operators.curves import curve_rows
+from curvemill.operators.curves import curve_rows, mask_columns
 from curvemill.staging import BROADCAST_ROWS, Staged, join_small
 
 
 def shock_rows(shocks: DataFrame, curve: list[str], scenario: str, tenor: str, shock: str,
-               tenors: list[int], prefix: str = "s") -> DataFrame:
-    """One curve row per scenario; repeated points keep the greatest shock."""
+               tenors: list[int], prefix: str = "s", repeated: str = "max") -> DataFrame:
+    """One curve row per scenario; ``repeated`` is the aggregate for repeated points."""
     return curve_rows(shocks, [*curve, scenario], tenor, shock, tenors, prefix,
-                      combine="max", strict=False)
+                      combine=repeated, strict=False)
 
 
 def sum_product(tenors: list[int], left: str, right: str) -> Column:
@@ -44,7 +45,9 @@ def pair_scenarios(exposure: Staged, shocks: DataFrame, curve: list[str], scenar
                    limit: int = BROADCAST_ROWS) -> DataFrame:
     """Every exposure row beside every scenario of its curve that shares a tenor."""
     pairs = join_small(shocks, exposure, curve, limit)
-    return pairs.where(F.col(masks[0]).bitwiseAND(F.col(masks[1])) != 0)
+    beside = zip(mask_columns(exposure.df, masks[0]), mask_columns(shocks, masks[1]), strict=True)
+    return pairs.where(reduce(lambda x, y: x | y, [
+        F.col(a).bitwiseAND(F.col(b)) != 0 for a, b in beside]))
 
 
 def scenario_losses(exposure: Staged, shocks: DataFrame, *, keys: list[str],
@@ -72,7 +75,8 @@ def class_curve_rows(rows: DataFrame, keys: list[str], class_column: str,
     rows = rows.withColumn("_class", number)
     cells = [F.expr(f"double(sum(if(_class = {i}, {prefix}{m}, null))) as c{i}_{m}")
              for i in range(len(classes)) for m in tenors]
-    return rows.groupBy(*keys).agg(*cells, F.bit_or(mask).alias("emask"))
+    masks = [F.bit_or(c).alias("emask" + c.removeprefix(mask)) for c in mask_columns(rows, mask)]
+    return rows.groupBy(*keys).agg(*cells, *masks)
 
 
 def losses_by_class(exposure: Staged, shocks: DataFrame, *, keys: list[str],

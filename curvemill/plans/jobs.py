@@ -7,7 +7,7 @@ back as report tables, or as counts taken while a result is written.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from datetime import date
 from functools import reduce
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from curvemill.functions.keys import normalize_text
 from curvemill.operators import quality
 from curvemill.operators.curves import missing_tenors
+from curvemill.operators.lookups import unparsed_dates
 from curvemill.plans import hedged, unhedged
 from curvemill.plans.hedged import HedgedInputs, HedgedRules
 from curvemill.plans.unhedged import UnhedgedInputs, UnhedgedRules
@@ -71,7 +72,8 @@ def run_hedged(inputs: HedgedInputs, rules: HedgedRules, write: Writer) -> JobRe
 
     shocks = hedged.scenario_rows(inputs.shocks, tenors)
     tables = hedged.lookup_reports(rows) | {
-        "shocks": missing_tenors(exposure.df, shocks, ["security_currency"], tenors)}
+        "shocks": missing_tenors(exposure.df, shocks, ["security_currency"], tenors),
+        "unparsed rate dates": unparsed_dates(inputs.rates, "date", rules.rate_date_format)}
     return JobReport(tables, {**no_net.get, **incomplete.get})
 
 
@@ -80,6 +82,8 @@ def run_unhedged(inputs: UnhedgedInputs, rules: UnhedgedRules, write: Writer) ->
     quality.require_rows({f.name: getattr(inputs, f.name) for f in fields(inputs)})
     codes = inputs.tenors.select(F.upper("tenor_code").alias("tenor_code"))
     quality.require_unique(codes, ["tenor_code"], "The tenor dimension")
+    if rules.tenors is None:
+        rules = replace(rules, tenors=unhedged.dimension_tenors(inputs.tenors))
     points = stage(unhedged.first_order_points(inputs.sensitivities, inputs.tenors),
                    "post-tax").df
     write(points.withColumn("hedge_program", F.lit(None).cast("string")), "post_tax")
@@ -99,4 +103,5 @@ def run_unhedged(inputs: UnhedgedInputs, rules: UnhedgedRules, write: Writer) ->
           "total")
     repeated = quality.duplicate_keys(inputs.hierarchy.select(
         normalize_text("segment_name").alias("segment_name")), ["segment_name"])
-    return JobReport({"repeated segments": repeated}, {})
+    return JobReport({"repeated segments": repeated,
+                      "repeated shocks": unhedged.repeated_shocks(inputs.shocks)}, {})

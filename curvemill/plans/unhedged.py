@@ -18,6 +18,7 @@ from curvemill.functions.amounts import post_tax, total
 from curvemill.functions.keys import classify_rules, concat_key, normalize_text, recode
 from curvemill.operators import scenarios
 from curvemill.operators.curves import curve_rows, tenor_months
+from curvemill.operators.quality import duplicate_keys
 from curvemill.operators.scenarios import (
     pair_scenarios, parallel_gamma, scenario_losses, second_order, shock_rows,
     sum_product, with_quantile)
@@ -46,9 +47,13 @@ class UnhedgedInputs:
 
 @dataclass(frozen=True)
 class UnhedgedRules:
-    """Codes and units: ordered segment rules, currency recodes, shift names, divisors."""
+    """Codes and units: ordered segment rules, currency recodes, shift names, divisors.
 
-    tenors: list[int]
+    Without ``tenors`` the job takes them from the tenor dimension. ``repeated_shocks`` is the
+    aggregate for shocks that occur twice for a point.
+    """
+
+    tenors: list[int] | None
     segment_rules: list[tuple[str | Column, str]]
     default_segment: str
     shift_up: str
@@ -58,6 +63,13 @@ class UnhedgedRules:
     gamma_unit: float = 1_000_000.0
     gamma_factor: float = 4.0
     p: float = 0.95
+    repeated_shocks: str = "sum"
+
+
+def dimension_tenors(tenors: DataFrame) -> list[int]:
+    """The tenors in months that a dimension holds; each becomes a column."""
+    months = tenors.where("tenor_months is not null").select("tenor_months").distinct()
+    return sorted(r["tenor_months"] for r in months.collect())
 
 
 def read_inputs(sensitivities: DataFrame, tenors: DataFrame, shocks: DataFrame,
@@ -104,7 +116,15 @@ def scenario_rows(shocks: DataFrame, tenors: DataFrame, rules: UnhedgedRules) ->
     rows = (shocks.join(dimension, tenor_months("tenor") == F.col("_at"))
             .select(F.upper("currency").alias("currency"), "tenor_months", "scenario",
                     "shocks"))
-    return shock_rows(rows, ["currency"], "scenario", "tenor_months", "shocks", rules.tenors)
+    return shock_rows(rows, ["currency"], "scenario", "tenor_months", "shocks", rules.tenors,
+                      repeated=rules.repeated_shocks)
+
+
+def repeated_shocks(shocks: DataFrame) -> DataFrame:
+    """Points of the scenario table that occur more than once, with their number of rows."""
+    points = shocks.select(F.upper("currency").alias("currency"), "scenario",
+                           tenor_months("tenor").alias("tenor_months"))
+    return duplicate_keys(points, points.columns)
 
 
 def first_order_losses(exposure: Staged, shocks: DataFrame, hierarchy: DataFrame,

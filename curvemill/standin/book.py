@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions.amounts import from_units, units
-from curvemill.operators.curves import present_mask
+from curvemill.operators.curves import present_masks
 from curvemill.operators.scenarios import shock_rows
 from curvemill.staging import Staged, stage
 from curvemill.standin.registry import Tables
@@ -78,7 +78,7 @@ def exposure_rows(t: Tables, keys: list[str]) -> DataFrame:
 
 
 def with_mask(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("emask", present_mask(TENORS, "e"))
+    return rows.withColumns(present_masks(TENORS, "e"))
 
 
 def staged_exposure(t: Tables, keys: tuple[str, ...] = ("segment", "currency")) -> Staged:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions import calendar as cal
-from curvemill.functions.amounts import total, zero_if_null
+from curvemill.functions.amounts import from_units, total, units, zero_if_null
 from curvemill.functions.keys import clean_code
 from curvemill.operators import shaping
 from curvemill.operators.curves import (
-    curve_points, curve_totals, unpivot_curve, wide_curve_rows, zero_tenors)
+    curve_points, curve_rows, curve_totals, unpivot_curve, wide_curve_rows, zero_tenors)
 from curvemill.standin.registry import Tables, check
 
 UNPIVOT_SQL = """
@@ -42,6 +42,24 @@ def wide_curve_totals(t: Tables) -> DataFrame:
                         {"e": "total"})
 
 
+MONTHS = list(range(1, 121))
+
+
+@check("""
+SELECT l_returnflag, month / 12 AS tenor_years, total FROM (
+  SELECT l_returnflag, CAST((year(l_shipdate) * 12 + month(l_shipdate)) % 120 + 1 AS INTEGER)
+           AS month, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+  FROM lineitem GROUP BY ALL)""")
+def monthly_curves(t: Tables) -> DataFrame:
+    """Curves of monthly tenors, more than a single mask column holds."""
+    month = (F.year("l_shipdate") * 12 + F.month("l_shipdate")) % 120 + 1
+    rows = t.lineitem.select("l_returnflag", month.alias("month"),
+                             units("l_extendedprice").alias("cents"))
+    rows = curve_rows(rows, ["l_returnflag"], "month", "cents", MONTHS, "e")
+    return curve_points(rows, ["l_returnflag"], MONTHS, "emask", "tenor_years", {"e": "cents"}) \
+        .select("l_returnflag", "tenor_years", from_units("cents").alias("total"))
+
+
 @check("""
 SELECT l_returnflag AS program_code, l_linenumber AS legal_id, count(*) AS n,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total

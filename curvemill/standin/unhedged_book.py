@@ -33,7 +33,7 @@ RULES = UnhedgedRules(
         ("endswith(upper(segment_name), 'HOLD') and upper(market) = 'ASIA'", "ASIA"),
         ("upper(country) = 'AFRICA'", "AFRICA"),
         ("upper(country) = 'EUROPE'", "EUROPE")],
-    default_segment="ASIA", shift_up="SHIFT_UP", shift_down="SHIFT_DOWN",
+    default_segment="ASIA", repeated_shocks="max", shift_up="SHIFT_UP", shift_down="SHIFT_DOWN",
     currency_codes={"Xee": "Xdd"})
 
 BOOK_SQL = f"""

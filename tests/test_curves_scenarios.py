@@ -43,7 +43,36 @@ def test_undeclared_tenor_fails_on_the_strict_side(rows):
     kept = curves.curve_rows(df, ["key"], "t", "v", TENORS, "s", strict=False)
     assert as_tuples(kept) == [("k", 1.0, None, None, 1)]
     with pytest.raises(ValueError):
-        curves.curve_rows(df, ["key"], "t", "v", list(range(64)), "e")
+        curves.curve_rows(df, ["key"], "t", "v", [], "e")
+
+
+@pytest.mark.parametrize("n", [63, 64, 130])
+def test_curves_of_any_number_of_tenors(rows, n):
+    tenors = list(range(1, n + 1))
+    e = rows([("p", "A", t, float(t)) for t in tenors[1:]] + [("q", "A", n, 1.0)],
+             "portfolio string, currency string, tenor int, amount double")
+    s = rows([("A", 7, t, 2.0) for t in tenors[:-1]],
+             "currency string, scenario int, tenor int, shock double")
+    keys = ["portfolio", "currency"]
+    book = curves.curve_rows(e, keys, "tenor", "amount", tenors, "e")
+    table = scenarios.shock_rows(s, ["currency"], "scenario", "tenor", "shock", tenors)
+    back = curves.curve_points(book, keys, tenors, "emask", "years", {"e": "amount"})
+    assert as_tuples(back.select("portfolio", curves.tenor_months("years"), "amount")) == \
+        as_tuples(e.select("portfolio", "tenor", "amount"))
+    losses = scenarios.scenario_losses(stage(book, "many"), table, keys=keys, curve=["currency"],
+                                       scenario="scenario", tenors=tenors)
+    assert as_tuples(losses) == [("p", "A", 7, float(2 * sum(tenors[1:-1])), n - 2)]
+    assert as_tuples(curves.missing_tenors(book, table, ["currency"], tenors)) == [("A", [n])]
+    blocks = scenarios.class_curve_rows(book.withColumn("class", F.lit("x")), ["currency"],
+                                        "class", ["x"], tenors, "e", "emask")
+    whole = scenarios.losses_by_class(stage(blocks, "blocks"), table, keys=["currency"],
+                                      curve=["currency"], scenario="scenario", tenors=tenors,
+                                      columns={"x": "loss"}, multiplier=1.0)
+    assert as_tuples(whole) == [("A", 7, float(2 * sum(tenors[1:-1])), n - 2)]
+    wide = book.select("portfolio", *[F.col(f"e{m}").alias(f"{m:03d}M") for m in tenors])
+    summed, found = curves.wide_curve_rows(wide, ["portfolio"], "e")
+    assert found == tenors and as_tuples(summed.select("portfolio", *curves.mask_columns(
+        summed, "emask"))) == as_tuples(book.select("portfolio", *curves.mask_columns(book, "emask")))
 
 
 def test_tail_average(rows):

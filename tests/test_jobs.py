@@ -1,4 +1,5 @@
-from datetime import date
+from dataclasses import replace
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,12 @@ def test_unhedged_job(spark, rows, tmp_path):
     assert tables["post_tax"].schema["hedge_program"].dataType.simpleString() == "string"
     assert as_tuples(tables["total"].select("scenario", "amount")) == [(1, 6.0), (2, 7.0)]
     assert report.tables["repeated segments"].count() == 0
+    assert report.tables["repeated shocks"].count() == 0
+    targets, write = writer(tmp_path / "again", list(targets))
+    rules = replace(test_plans.UNHEDGED, tenors=None)
+    jobs.run_unhedged(given, rules, write)
+    assert as_tuples(spark.read.parquet(targets["total"]).select("scenario", "amount")) == [
+        (1, 6.0), (2, 7.0)]
 
 
 def test_append_newer_adds_nothing_twice(spark, rows, tmp_path):
@@ -87,3 +94,25 @@ def test_append_newer_adds_nothing_twice(spark, rows, tmp_path):
     for _ in range(2):
         feeds.append_newer(source, target, "w")
         assert as_tuples(spark.read.parquet(target).select("v")) == [(v,) for v in range(1, 6)]
+
+
+def test_append_newer_by_a_timestamp_in_an_hour_that_repeats(spark, rows, tmp_path):
+    target = str(tmp_path / "raw")
+    moments = spark.range(4).select((F.lit(1793509200) + F.col("id") * 1800).alias("s"))
+    source = moments.select(F.timestamp_seconds("s").alias("w"), "s")
+    sinks.write_table(source.where("s < 1793512800"), target)
+    for _ in range(2):
+        feeds.append_newer(source, target, "w")
+        assert spark.read.parquet(target).count() == 4
+
+
+def test_refresh_dimension(spark, rows, tmp_path):
+    target, source = str(tmp_path / "dim"), rows([(1,), (2,)], "v int")
+    first = F.lit(datetime(2026, 1, 31, 12)).cast("timestamp")
+    sinks.write_table(source.withColumn("ingestion_ts", first), target)
+    now = F.lit(datetime(2026, 2, 1, 12)).cast("timestamp")
+    for today, frequency, due, count in [
+            (date(2026, 1, 31), "daily", False, 2), (date(2026, 2, 1), "annually", False, 2),
+            (date(2026, 2, 1), "monthly", True, 4), (date(2026, 2, 1), "monthly", False, 4)]:
+        assert feeds.refresh_dimension(source, target, frequency, F.lit(today), now) is due
+        assert spark.read.parquet(target).count() == count
