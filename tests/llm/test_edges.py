@@ -70,6 +70,18 @@ def test_near_duplicates(odd, none):
     assert neardup.link(none).count() == 0 and neardup.one_of_each(none).count() == 0
 
 
+def test_one_of_each_never_drops_by_key_alone(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdef"]
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (1, texts[2]), (1, texts[3]),
+            (1, texts[3]), (2, texts[4]), (None, texts[4]), (3, texts[4].upper()),
+            (None, ""), (None, ""), (None, None), (4, texts[5])]
+    rows = spark.createDataFrame(data, "doc_id bigint, text string")
+    kept = [tuple(r) for r in neardup.one_of_each(rows).collect()]
+    assert sorted(kept, key=str) == sorted([
+        (None, texts[0]), (None, texts[1]), (1, texts[2]), (1, texts[3]), (2, texts[4]),
+        (None, ""), (None, ""), (None, None), (4, texts[5])], key=str)
+
+
 def test_near_copies_that_meet_only_through_others(spark):
     base = [f"t{i}" for i in range(200)]
     texts = [" ".join(base[:k] + [f"x{k}"] + base[k + 1:]) for k in range(0, 200, 9)]
