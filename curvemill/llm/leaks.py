@@ -4,6 +4,10 @@ The index holds postings (term, row, position, surroundings) of training tokens
 terms that can start a search: the rarest two of every benchmark window, by their counts in
 all training texts. Lists are shifted by the offset of the term in the window and
 intersected; what both lists agree on is compared with the whole window.
+
+A window is also near a place if a stretch of as many words as the window has, and ``WITHIN``
+more, holds all of its different terms but ``MISSING``, in any order. Such a stretch holds
+one of the ``MISSING`` + 1 rarest terms, so their postings are enough to find all of them.
 """
 
 from __future__ import annotations
@@ -16,6 +20,9 @@ from pyspark.sql import functions as F
 from curvemill.llm.common import Written, fresh, lower_ascii, write
 
 WINDOW = 10
+WITHIN = 10             # words that may stand between the terms of a near window
+MISSING = 1             # terms that a near window may lack; none below LEAST_TERMS
+LEAST_TERMS = 5
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -43,6 +50,8 @@ class Index:
 
     windows: Written
     postings: DataFrame
+    within: int
+    missing: int
 
 
 def windows_of(items: DataFrame, item: str, text: str, length: int = WINDOW) -> DataFrame:
@@ -68,15 +77,16 @@ def tokens_of(docs: DataFrame, key: str, text: str, keep: list[str], row: str, t
 
 
 def build_index(tokens: DataFrame, items: DataFrame, item: str, item_text: str,
-                length: int = WINDOW) -> Index:
+                length: int = WINDOW, within: int = WITHIN, missing: int = MISSING) -> Index:
     """Count the test terms in all training texts, pick the rarest, store their postings.
 
     ``tokens``: row and tokens, the words of a text joined by blanks.
 
     Test terms and search terms are measured when written and only copied to all tasks up
     to ``common.COPY_ROWS`` and ``COPY_BYTES``; a larger set meets the tokens in a shuffle
-    join. Surroundings are the words that any window around the posting can cover.
+    join. Surroundings are the words that any stretch around the posting can cover.
     """
+    reach = length + within - 1
     windows = write(windows_of(items, item, item_text, length), "leak-windows").df
     texts = windows.select("words").distinct().withColumn(
         "window", F.md5(F.concat_ws(" ", "words").cast("binary")))
@@ -90,20 +100,29 @@ def build_index(tokens: DataFrame, items: DataFrame, item: str, item_text: str,
         Window.partitionBy("window").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")))
     found = write(ranked.where("place <= 2").groupBy("window", "words").agg(
         F.min(F.when(F.col("place") == 1, F.struct("term", "offset"))).alias("first"),
-        F.min(F.when(F.col("place") == 2, F.struct("term", "offset"))).alias("second")),
+        F.min(F.when(F.col("place") == 2, F.struct("term", "offset"))).alias("second"))
+        .join(ranked.groupBy("window").agg(F.sort_array(F.collect_set(F.struct(
+            F.coalesce("n", F.lit(0)).alias("n"), "term")))["term"].alias("rarest")), "window"),
         "leak-search")
-    search = write(found.df.select(F.explode(F.array("first", "second")).alias("t"))
-                   .where("t is not null").select("t.term").distinct(), "leak-search-terms",
-                   ("term",))
-    around = F.slice("words", F.greatest(F.col("position") - length + 2, F.lit(1)),
-                     F.least(F.col("position"), F.lit(length - 1)) + length)
+    anchors = F.slice("rarest", 1, lacking(F.col("rarest"), missing) + 1)
+    search = write(found.df.select(F.explode(F.concat(F.filter(F.array(
+        "first.term", "second.term"), lambda t: t.isNotNull()), anchors)).alias("term"))
+        .distinct(), "leak-search-terms", ("term",))
+    around = F.slice("words", F.greatest(F.col("position") - reach + 1, F.lit(1)),
+                     F.least(F.col("position"), F.lit(reach)) + reach + 1)
     postings = words.select("row", "words", F.posexplode("words").alias("position", "term")) \
         .join(search.copied(), "term").select(
             "term", "row", "position", around.alias("around"),
-            F.least(F.col("position"), F.lit(length - 1)).alias("before"))
+            F.least(F.col("position"), F.lit(reach)).alias("before"))
     named = windows.withColumn("window", F.md5(F.concat_ws(" ", "words").cast("binary")))
     full = named.select("item", "window").join(found.df, "window")
-    return Index(write(full, "leak-lookup"), write(postings, "leak-postings").df)
+    return Index(write(full, "leak-lookup"), write(postings, "leak-postings").df, within, missing)
+
+
+def lacking(terms: Column, missing: int) -> Column:
+    """How many of the different ``terms`` of a window a near place may lack."""
+    return F.when(F.size(terms) < LEAST_TERMS, 0).otherwise(
+        F.least(F.lit(missing), F.size(terms) - 1))
 
 
 def phrase_matches(index: Index) -> DataFrame:
@@ -132,46 +151,68 @@ def phrase_matches(index: Index) -> DataFrame:
     return matched.select("row", "start", "n", "window")
 
 
-def near_matches(index: Index, within: int = WINDOW) -> DataFrame:
-    """(row, position, window): the two rarest terms of a window at most ``within`` apart."""
-    w = index.windows.df.select("window", "first", "second").dropDuplicates(["window"]) \
-        .where("second is not null").select("window", F.col("first.term").alias("term"),
-                                            F.col("second.term").alias("near"))
-    low, high = F.array_position("around", F.col("near")), F.col("before") + 1
-    return index.postings.join(w, "term").where(
-        F.array_contains("around", F.col("near"))
-        & F.exists(F.sequence(F.greatest(high - within, F.lit(1)),
-                              F.least(high + within, F.size("around"))),
-                   lambda i: (F.get("around", i - 1) == F.col("near")) & (i != high))) \
+def near_matches(index: Index) -> DataFrame:
+    """(row, position, window): places of a rarest term in a stretch that is near a window.
+
+    Every stretch counts that holds enough terms of the window; phrase matches are among them.
+    """
+    w = index.windows.df.select("window", "words", "rarest").dropDuplicates(["window"])
+    less = lacking(F.col("rarest"), index.missing)
+    w = write(w.select(
+        "window", F.explode(F.slice("rarest", 1, less + 1)).alias("term"), "rarest",
+        (F.size("rarest") - less).alias("need"),
+        (F.size("words") + index.within).alias("span")), "leak-anchors", ("term",))
+
+    def enough(words: Column) -> Column:
+        return F.size(F.array_intersect(words, F.col("rarest"))) >= F.col("need")
+
+    at = (F.col("before") + 1).cast("int")
+    starts = F.sequence(F.greatest(at - F.col("span") + 1, F.lit(1)), at)
+    return index.postings.join(w.copied(), "term").where(enough(F.col("around"))).where(
+        F.exists(starts, lambda s: enough(F.slice("around", s, F.col("span"))))) \
         .select("row", "position", "window")
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
-         item: str = "item_id", item_text: str = "text", keep: list[str] | None = None
-         ) -> tuple[DataFrame, str]:
+         item: str = "item_id", item_text: str = "text", keep: list[str] | None = None,
+         within: int = WITHIN, missing: int = MISSING) -> tuple[DataFrame, str]:
     """All rows with the columns ``keep`` (default: all) and a struct of what was found.
 
     The struct holds n_words, n_hit and the sorted distinct items with a window in the
-    row. A null text has no words; an item without words has no window; repeated rows get
+    row; and n_near, the different windows that are near a place of the row, with the sorted
+    distinct near_items, phrase matches included. A null text has no words; an item without words has no window; repeated rows get
     the same result each; an empty table on either side gives no hits.
     """
     keep = docs.columns if keep is None else keep
     row, words, leak = fresh(docs, "row"), fresh(docs, "tokens"), fresh(docs, "leak")
     stored = tokens_of(docs, key, text, keep, row, words, leak)
     index = build_index(stored.select(F.col(row).alias("row"), F.col(words).alias("tokens")),
-                        items, item, item_text)
+                        items, item, item_text, within=within, missing=missing)
     matches = write(phrase_matches(index), "leak-matches", ("row",)).df
     places = matches.select("row", "start", "n").distinct().select(
         "row", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("p"))
     hits = places.distinct().groupBy("row").agg(F.count(F.lit(1)).alias("n_hit"))
-    named = matches.select("row", "window").distinct().join(
-        index.windows.df.select("window", "item"), "window").select("row", "item").distinct()
-    found = hits.join(named.groupBy("row").agg(F.array_sort(F.collect_list(
-        F.col("item").cast("string"))).alias("items")), "row", "left")
+    near = write(near_matches(index).select("row", "window").distinct(), "leak-near", ("row",)).df
+
+    def named(of: DataFrame, name: str) -> DataFrame:
+        return of.select("row", "window").distinct().join(
+            index.windows.df.select("window", "item"), "window").select("row", "item") \
+            .distinct().groupBy("row").agg(F.array_sort(F.collect_list(
+                F.col("item").cast("string"))).alias(name))
+
+    found = near.groupBy("row").agg(F.count(F.lit(1)).alias("n_near")) \
+        .join(named(near, "near_items"), "row", "left").join(hits, "row", "full") \
+        .join(named(matches, "items"), "row", "left")
     found = write(found, "leak-found", ("row",)).copied()
-    found = found.withColumnsRenamed({"row": f"_{row}", "n_hit": f"_{row}_n", "items": f"_{row}_i"})
-    joined = stored.drop(words).join(found, F.col(row) == F.col(f"_{row}"), "left")
-    items_ = F.coalesce(F.col(f"_{row}_i"), F.array().cast("array<string>"))
+    found = found.withColumnsRenamed({c: f"_{row}_{c}" for c in found.columns})
+    joined = stored.drop(words).join(found, F.col(row) == F.col(f"_{row}_row"), "left")
+
+    def count(name: str) -> Column:
+        return F.coalesce(f"_{row}_{name}", F.lit(0)).cast("bigint").alias(name)
+
+    def names(name: str) -> Column:
+        return F.coalesce(f"_{row}_{name}", F.array().cast("array<string>")).alias(name)
+
     return joined.select(*keep, F.struct(
-        F.col(leak).alias("n_words"), F.coalesce(f"_{row}_n", F.lit(0)).cast("bigint")
-        .alias("n_hit"), items_.alias("items")).alias(leak)), leak
+        F.col(leak).alias("n_words"), count("n_hit"), names("items"), count("n_near"),
+        names("near_items")).alias(leak)), leak

@@ -100,6 +100,17 @@ def op9_positional_decontamination(spark: SparkSession, folder: str) -> DataFram
         (F.col(f"{leak}.n_hit") > 0).alias("contaminated"))
 
 
+def op9_proximity_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The second half of op9, apart from it because its SQL fixes the columns of the first."""
+    found, leak = leaks.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"),
+                             keep=["doc_id"])
+    items = F.col(f"{leak}.near_items")
+    return found.select(
+        "doc_id", f"{leak}.n_words", f"{leak}.n_hit", f"{leak}.n_near",
+        F.size(items).cast("bigint").alias("n_near_items"),
+        F.array_join(items, ",").alias("near_items"), (F.col(f"{leak}.n_hit") > 0).alias("contaminated"))
+
+
 def op10_host_quality(spark: SparkSession, folder: str) -> DataFrame:
     found, rules = quality.judge(table(spark, folder, "documents"), keep=["doc_id"])
     return found.select("doc_id", *[f"{rules}.{c}" for c in (
@@ -116,6 +127,6 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_html_extraction, op2_secret_scan, op3_pii_pseudonyms, op4_class_lm, op5_nnls_packing,
     op6_hypergeometric_shards, op7_license_scan, op8_odd_sketch_dedup,
-    op9_positional_decontamination, op10_host_quality, pipeline)}
+    op9_positional_decontamination, op9_proximity_matches, op10_host_quality, pipeline)}
 
 SQL: dict[str, str] = dict(sql.SQL)

@@ -108,6 +108,34 @@ def test_leaks(odd, none, items):
     assert clean.where(F.col(f"{leak}.n_hit") > 0).count() == 0 and clean.count() == 13
 
 
+@pytest.mark.parametrize("within,missing", [(10, 1), (0, 1), (25, 2)])
+def test_near_places_equal_brute_force(spark, within, missing):
+    random = np.random.default_rng(within)
+    words = [f"w{i}" for i in range(40)]
+    items = [" ".join(random.choice(words, n)) for n in (14, 12, 6, 3, 1)]
+    items[1] = " ".join(words[20:32])
+    texts = [" ".join(random.choice(words, n)) for n in (0, 5, 30, 60, 60)]
+    line = words[20:30]
+    texts += [" ".join(line[::-1]), " ".join(line[:4] + line[5:]), " ".join(line[:3] + line[6:]),
+              " ".join(line[:5] + ["x"] * 10 + line[5:]), " ".join(line[:5] + ["x"] * 11 + line[5:]),
+              " ".join(line[:5] + ["x"] * 25 + line[5:])]
+    found, leak = leaks.find(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"),
+                             spark.createDataFrame(list(enumerate(items)), "item_id int, text string"),
+                             within=within, missing=missing)
+    got = {r.doc_id: (r[leak].n_near, r[leak].near_items) for r in found.collect()}
+    windows = {(i, tuple(x.split()[s:s + 10])) for i, x in enumerate(items)
+               for s in range(max(len(x.split()) - 9, 1))}
+    for doc, text in enumerate(texts):
+        w, near = text.split(), set()
+        for item, window in windows:
+            terms = set(window)
+            need = len(terms) - (missing if len(terms) >= 5 else 0)
+            if any(len(terms & set(w[s:s + len(window) + within])) >= need for s in range(len(w))):
+                near.add((item, window))
+        assert got[doc] == (len({x for _, x in near}), sorted({str(i) for i, _ in near})), doc
+    assert got[5][0] > 0  # all words in reverse order
+
+
 def test_language_model(odd, none):
     rows = lm.score(odd).toPandas()
     assert len(rows) == 13 and np.isfinite(rows.base_score).all() and np.isfinite(rows.score).all()
