@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curvemill.llm import (html_text, leaks, licenses, lm, neardup, packing, pii, quality,
                            secrets, sharding, sql)
-from curvemill.llm.common import table
+from curvemill.llm.common import table, write
 
 SHARDS = 24
 PSEUDONYM_KEY = "curvemill"
@@ -60,12 +60,10 @@ def op5_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
-    text = F.col("text").cast("binary")
-    rows = table(spark, folder, "documents").select(
-        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
-        F.crc32(F.coalesce(text, F.lit(b""))).alias("text_crc32"))
-    dealt = sharding.deal(rows, SHARDS)
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
+    dealt = write(sharding.deal(table(spark, folder, "documents"), SHARDS), "shards", codec="zstd").df
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    return dealt.select("doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"),
+                        F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"),
                         F.col("shard").cast("int").alias("shard"),
                         F.col("slot").cast("bigint").alias("slot"),
                         F.lit(None).cast("int").alias("grown_shard"))

@@ -15,27 +15,45 @@ from pyspark.sql import functions as F
 from curvemill.llm.common import fresh, write
 
 PARTS = 1024            # source parts, at most
-WAVE = 500_000_000      # rows in one draw, at most: the sampler is exact below a billion
+LIMIT = 500_000_000     # rows in a draw by numpy, at most: its sampler ends below a billion
+
+
+def drawn(random: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """How many of ``sample`` rows out of good + bad are good, for any number of rows.
+
+    Each row is taken with one chance; of the rows taken too many, or still missing, a uniform
+    choice is put back or added. What is taken is then uniform among all sets of its size.
+    """
+    total = good + bad
+    if total <= LIMIT:
+        return int(random.hypergeometric(good, bad, sample))
+    share = sample / total
+    a, b = int(random.binomial(good, share)), int(random.binomial(bad, share))
+    more = sample - a - b
+    first, of = (good - a, total - a - b) if more > 0 else (a, a + b)
+    changed = int((random.choice(of, abs(more), replace=False) < first).sum()) if more else 0
+    return a + changed if more > 0 else a - changed
 
 
 def communication_matrix(rows: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """Counts of rows from each part (first axis) to each shard (second axis).
 
     Rows sums are the parts' sizes and shard sizes are at most one apart. Parts are drawn
-    one after the other from what the shards still lack. Above ``WAVE`` rows, parts are
-    drawn in waves that each fill the shards evenly.
+    one after the other from what the shards still lack, by one law at every size.
     """
     random = np.random.default_rng(seed)
-    matrix, done, at = np.zeros((len(rows), shards), np.int64), 0, 0
-    while at < len(rows):
-        to = max(at + 1, int(np.searchsorted(np.cumsum(rows[at:]), WAVE, "right")) + at)
-        n = int(rows[at:to].sum())
-        lack = np.array([(done + n - s - 1) // shards - (done - s - 1) // shards
-                         for s in range(shards)], np.int64)
-        for part in range(at, to):
-            matrix[part] = random.multivariate_hypergeometric(lack, int(rows[part]))
-            lack -= matrix[part]
-        done, at = done + n, to
+    matrix, n = np.zeros((len(rows), shards), np.int64), int(rows.sum())
+    lack = np.array([-((s - n) // shards) for s in range(shards)], np.int64)
+    for part, size in enumerate(rows):
+        if lack.sum() <= LIMIT:
+            matrix[part] = random.multivariate_hypergeometric(lack, int(size))
+        else:
+            left, rest = int(size), int(lack.sum())
+            for s in range(shards):
+                rest -= int(lack[s])
+                matrix[part, s] = drawn(random, int(lack[s]), rest, left)
+                left -= int(matrix[part, s])
+        lack -= matrix[part]
     return matrix
 
 
@@ -66,7 +84,8 @@ def deal(df: DataFrame, shards: int, seed: int = 7) -> DataFrame:
     spark = df.sparkSession
     spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     uid, one, two, part, rank = (fresh(df, x) for x in ("uid", "key1", "key2", "part", "rank"))
-    rows = write(df.withColumn(uid, F.monotonically_increasing_id()), "shard-rows").df
+    rows = write(df.withColumn(uid, F.monotonically_increasing_id()), "shard-rows",
+                 codec="zstd").df
     rows = rows.withColumns({
         one: F.xxhash64(F.lit(seed), F.lit(1), uid), two: F.xxhash64(F.lit(seed), F.lit(2), uid),
         part: F.pmod(F.shiftright(uid, 33), F.lit(PARTS)).cast("int")})

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+from math import comb
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +175,32 @@ def test_matrix_has_exact_margins():
     assert matrix.sum(axis=1).tolist() == rows.tolist() and np.ptp(matrix.sum(axis=0)) <= 1
 
 
+def test_matrix_keeps_its_law_above_the_sampler(monkeypatch):
+    rows = np.array([1_200_000_000, 3, 700_000_001])
+    matrix = sharding.communication_matrix(rows, 5, 3)
+    assert matrix.sum(axis=1).tolist() == rows.tolist() and np.ptp(matrix.sum(axis=0)) <= 1
+    assert np.ptp(sharding.communication_matrix(np.array([600_000_000] * 2), 2, 3)[0]) > 0
+    monkeypatch.setattr(sharding, "LIMIT", 0)
+    random = np.random.default_rng(1)
+    for good, bad, sample in ((6, 9, 5), (3, 20, 12), (1, 1, 1), (4, 0, 3), (0, 4, 3), (5, 5, 10)):
+        got = np.bincount([sharding.drawn(random, good, bad, sample) for _ in range(20_000)],
+                          minlength=sample + 1) / 20_000
+        want = [comb(good, k) * comb(bad, sample - k) / comb(good + bad, sample)
+                for k in range(sample + 1)]
+        assert np.abs(got - want).max() < 0.02
+
+
+def test_shards_hold_whole_documents(spark, monkeypatch):
+    dealt = []
+    deal = sharding.deal
+    monkeypatch.setattr(sharding, "deal", lambda df, n: dealt.append(deal(df, n)) or dealt[0])
+    folder = "/root/testdata/sf0.001"
+    queries.op6_hypergeometric_shards(spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert dealt[0].columns == [*docs.columns, "shard", "slot"]
+    assert dealt[0].drop("shard", "slot").exceptAll(docs).count() == 0
+
+
 def test_secrets_follow_constants():
     key = "k3J9x_Qp72LmZ0aB"
     text = f'BASE = "{key}"\ndb_password = BASE\nuser_name = "{key}x"\napiToken: "changeme-please"'
