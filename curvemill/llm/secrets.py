@@ -11,6 +11,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -107,27 +108,57 @@ def form(literal: str) -> float:
     return min(1.0, 0.2 + 0.1 * kinds + 0.15 * bits)
 
 
+@dataclass
+class Given:
+    """What a name was given: literals, and what other names held at that time."""
+
+    spans: list[tuple[int, int]]
+    sums: list[Given]
+    weight: float = 0.0     # the greatest that has reached it
+
+    def reached(self, weight: float) -> Iterator[tuple[int, int]]:
+        """All literals below that no name of this weight has reached before, each once.
+
+        There are few weights, so all names together visit a text's literals few times.
+        """
+        todo = [self]
+        while todo:
+            given = todo.pop()
+            if given.weight < weight:
+                given.weight = weight
+                yield from given.spans
+                todo += given.sums
+
+
 def scored_spans(text: str) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, score) of literals that reach a sensitive name.
 
     "literal": the name itself is sensitive; "constant": the literal was given to another
     name first, which a sensitive name then takes over, alone or in a sum.
     """
-    constants: dict[str, list[tuple[int, int]]] = {}
+    constants: dict[str, Given] = {}
     best: dict[tuple[int, int], tuple[float, str]] = {}
+
+    def rate(a: int, b: int, score: float, kind: str) -> None:
+        if score >= LEAST_SCORE - 0.4 and score > best.get((a, b), (0.0, ""))[0]:
+            best[a, b] = score, kind
+
     for name, parts in assignments(text):
-        weight, reached = sensitivity(name), []
+        weight, given = sensitivity(name), Given([], [])
         for kind, start, end in parts:
             known = constants.get(text[start:end]) if kind == "name" else None
-            own = [(start, end)] if known is None else known
-            reached += own
-            for a, b in own if weight else ():
-                score = weight * form(text[a:b])
-                if kind == "name" and known is None:
-                    score *= len(set("0123456789") & set(text[a:b])) > 0
-                if score >= LEAST_SCORE - 0.4 and score > best.get((a, b), (0.0, ""))[0]:
-                    best[a, b] = score, "constant" if known else "literal"
-        constants[name] = reached[:8] if len(parts) > 1 else reached
+            if known is None:
+                given.spans.append((start, end))
+                if weight:
+                    score = weight * form(text[start:end])
+                    if kind == "name":
+                        score *= len(set("0123456789") & set(text[start:end])) > 0
+                    rate(start, end, score, "literal")
+            else:
+                given.sums.append(known)
+                for a, b in known.reached(weight):
+                    rate(a, b, weight * form(text[a:b]), "constant")
+        constants[name] = given
     return [(a, b, kind, score) for (a, b), (score, kind) in best.items()]
 
 

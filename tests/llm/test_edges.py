@@ -208,6 +208,19 @@ def test_secrets_follow_constants():
     assert [(text[a:b], kind) for a, b, kind, _ in spans] == [(key, "constant")]
 
 
+def test_secrets_follow_sums_of_any_length():
+    keys = [f"k3J9x_Qp72LmZ0a{i:03}" for i in range(3000)]
+    lines = "\n".join(f'k = k + "{key}"' for key in keys[1:])
+    spans = secrets.scored_spans(f'k = "{keys[0]}"\n{lines}\npassword = k\nsecret = k')
+    assert len(spans) == 3000 and {kind for _, _, kind, _ in spans} == {"constant"}
+    text = "a = " + " + ".join(f'"{key}"' for key in keys[:20]) + "\ndb_password = a + a"
+    assert sorted(text[a:b] for a, b, _, _ in secrets.scored_spans(text)) == keys[:20]
+    more = "\n".join(f'password = password + "{key}"' for key in keys)
+    assert sorted(more[a:b] for a, b, _, _ in secrets.scored_spans(more) if b - a >= 18) == sorted(keys)
+    twice = "\n".join(f"a{i + 1} = a{i} + a{i}" for i in range(200))
+    assert len(secrets.scored_spans(f'a0 = "{keys[0]}"\n{twice}\ntoken = a200')) == 1
+
+
 def test_valid_values_stay_valid(spark):
     values = ["4111 1111 1111 1111", "078-05-1120", "1999-12-31", "(949) 555-0243",
               "GB82 WEST 1234 5698 7654 32", "10.0.0.255", "4111 1111 1111 1112", "2001-02-30"]
