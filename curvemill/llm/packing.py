@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import sys
-import zlib
 from collections.abc import Iterator
 from types import ModuleType
 
@@ -79,9 +78,9 @@ def _cut(path: str, window: int):
                     n = len(ids) // 4
                     for start in range(0, n, window):
                         piece = ids[4 * start:4 * (start + window)]
-                        rows.append((key, start, len(piece) // 4, zlib.crc32(piece), n, piece))
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32",
-                                                  "doc_tokens", "ids"]).astype({"doc_id": "object"})
+                        rows.append((key, start, len(piece) // 4, n, piece))
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens",
+                                                  "ids"]).astype({"doc_id": "object"})
     return cut
 
 
@@ -93,8 +92,8 @@ def pieces_of(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     """
     kind = docs.schema[key].dataType.simpleString()
     cut = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
-        _cut(path, window), f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, "
-                            "doc_tokens bigint, ids binary")
+        _cut(path, window), f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, "
+                            "ids binary")
     return write(cut.withColumn("uid", F.monotonically_increasing_id()), "pack-pieces",
                  codec="zstd")
 
@@ -232,23 +231,20 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def packed_pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                   window: int = WINDOW) -> DataFrame:
-    """Digest rows per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """Pieces with their ids in sequence order: all pieces of a sequence stand behind each
+    other by offset, and their ids, little-endian, make up the sequence.
 
-    The ids themselves stay in the written pieces; only pieces that were cut again are
-    joined with their ids.
+    The columns are key, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
     """
     pieces = pieces_of(docs, path, key, text, window).df
-    facts = pieces.select("uid", "doc_id", "start", "length", "ids_crc32", "doc_tokens")
-    placed = write(pack(facts, window), "pack-places").df
-    whole = facts.join(placed.where("not cut"), "uid").select(
-        F.col("doc_id").alias(key), "start", "length", "ids_crc32", "doc_tokens",
-        "sequence_id", "offset")
-    cut = write(placed.where("cut"), "pack-cut")
-    again = pieces.select("uid", "doc_id", "start", "doc_tokens", "ids").join(
-        cut.copied(), "uid")
+    placed = write(pack(pieces.select("uid", "length"), window), "pack-places").df
     part = F.substring("ids", 4 * F.col("skip") + 1, 4 * F.col("part"))
-    again = again.select(
+    moved = pieces.drop("length").join(placed, "uid").select(
         F.col("doc_id").alias(key), (F.col("start") + F.col("skip")).alias("start"),
-        F.col("part").alias("length"), F.crc32(part).alias("ids_crc32"), "doc_tokens",
+        F.col("part").alias("length"), "doc_tokens", "sequence_id", "offset",
+        F.when(F.col("cut"), part).otherwise(F.col("ids")).alias("ids"))
+    shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = moved.repartition(shuffles, "sequence_id").sortWithinPartitions(
         "sequence_id", "offset")
-    return whole.unionByName(again)
+    return ordered.select(key, "start", "length", F.crc32("ids").alias("ids_crc32"),
+                          "doc_tokens", "sequence_id", "offset", "ids")

@@ -56,7 +56,8 @@ def op4_class_lm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed_pieces(table(spark, folder, "documents"), tokenizer_path())
+    pieces = packing.packed_pieces(table(spark, folder, "documents"), tokenizer_path())
+    return write(pieces, "pack-sequences", codec="zstd").df.drop("ids")
 
 
 def op6_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:

@@ -152,6 +152,23 @@ def test_packing(odd, none):
     assert packing.packed_pieces(none, path).count() == 0
 
 
+def test_packed_ids_make_up_sequences(odd):
+    path = queries.tokenizer_path()
+    rows = packing.packed_pieces(odd, path, window=64).collect()
+    encode, places = packing.encoder(path), {}
+    for part in packing.packed_pieces(odd, path, window=64).rdd.glom().collect():
+        at = [(r.sequence_id, r.offset) for r in part]
+        assert at == sorted(at)
+        for i in {s for s, _ in at}:
+            assert i not in places
+            places[i] = b"".join(r.ids for r in part if r.sequence_id == i)
+    sizes = sorted(len(ids) for ids in places.values())
+    assert sizes[1:] == [4 * 64] * (len(places) - 1) and 0 < sizes[0] <= 4 * 64
+    for text, key in (("a b c d", 8), ("word " * 30_000, 4)):
+        ids = b"".join(r.ids for r in sorted(rows, key=lambda r: r.start) if r.doc_id == key)
+        assert ids == encode(text) + np.array([packing.END_ID], "<u4").tobytes()
+
+
 def test_rare_signs_take_the_whole_tokenizer():
     encode = packing.encoder(queries.tokenizer_path())
     tok = packing.tokenizer(queries.tokenizer_path())[0]
