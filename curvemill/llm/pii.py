@@ -36,7 +36,7 @@ END = r"(?![A-Za-z0-9])"
 ANY = START + "(?:" + "|".join(FORMS.values()) + ")" + END
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-FIRST_DAY, DAYS = "1900-01-01", 65536  # dates up to 2079-06-05
+FIRST_DAY, DAYS = "1900-01-01", (4297, 17)  # the product is all days up to 2099-12-31
 
 
 def _number(key: str, tweak: str, turn: int, value: Column) -> Column:
@@ -212,9 +212,9 @@ def _date(value: Column, key: str) -> Column:
     """Written as before: by year-month-day, day.month.year, or month/day/year (day/month/year
     where only that is a date), with two digits for day and month."""
     n = F.datediff(_day(value), F.lit(FIRST_DAY).cast("date"))
-    pair = feistel(F.floor(n / 256), n % 256, 256, 256, key, "date")
+    pair = feistel(F.floor(n / DAYS[1]), n % DAYS[1], *DAYS, key, "date")
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), bind(
-        pair, lambda p: p["l"] * 256 + p["r"]).cast("int"))
+        pair, lambda p: p["l"] * DAYS[1] + p["r"]).cast("int"))
     day_first = F.split(value, "/")[0].try_cast("int") > 12
     form = lambda f: bind(new, lambda d: F.date_format(d, f))
     return F.when(value.contains("-"), form("yyyy-MM-dd")).when(
@@ -230,7 +230,8 @@ def kind_of(value: Column) -> Column:
     """The kind of a matched value, null if it is not valid."""
     size = F.char_length(_digits(value))
     valid = {
-        "date": F.datediff(_day(value), F.lit(FIRST_DAY).cast("date")).between(0, DAYS - 1),
+        "date": F.datediff(_day(value), F.lit(FIRST_DAY).cast("date")).between(
+            0, DAYS[0] * DAYS[1] - 1),
         "foreign": size.between(8, 15),
         "card": size.between(13, 19) & (F.pmod(luhn_sum(_digits(value)), F.lit(10)) == 0),
         "iban": iban_rest(value) == 1}

@@ -253,6 +253,14 @@ def test_valid_values_stay_valid(spark):
     assert again.where(F.size(more) > 0).count() == 6  # a pseudonym is a valid value itself
 
 
+def test_dates_of_two_centuries_are_permuted(spark):
+    days = spark.sql("select cast(date_add(date '1900-01-01', cast(id as int)) as string) as text, id "
+                     "as doc_id from range(73049)")
+    done, found = pii.pseudonymise(days, "k")
+    new = done.where(F.size(found) == 1).select("text").distinct()
+    assert new.count() == 73049 and days.select("text").exceptAll(new).count() == 0
+
+
 def test_page_layout():
     page = ("<title>no</title><p>One<p>two <b>bold</b><br>line<ul><li>a<li>b<ol start=3><li>c</ol></ul>"
             "<table><tr><th>Name<th>N<tr><td>x<td>10</table><div style='display:none'>no</div>"
