@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 # Fixed facts of HTML.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style template noscript title iframe object svg math audio video "
-             "canvas datalist select option textarea".split())
+HIDDEN = set("head script style template noscript title iframe object audio video canvas "
+             "datalist".split())
+FOREIGN = {"svg", "math"}
+UNDRAWN = {"defs", "desc", "metadata", "symbol", "annotation", "annotation-xml"}  # in these two
 BLOCK = set("address article aside blockquote body center dd details dialog div dl dt fieldset "
             "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li "
             "main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption"
@@ -28,7 +30,8 @@ CLOSES = {
     "tbody": ({"tr", "td", "th", "thead", "tbody", "caption"}, {"table"}),
     "thead": ({"tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"tr", "td", "th", "tbody", "thead"}, {"table"}),
-    "body": ({"head"}, {"html"}),
+    "body": ({"head"}, {"html"}), "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
 }
 SCOPES = {"table", "td", "th", "caption", "button", "html"}
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -79,6 +82,8 @@ class TreeBuilder(HTMLParser):
         if tag in ("td", "th") and self.open[-1].tag in ("table", "tbody", "thead", "tfoot"):
             self._push(Node("tr", {}))
         node = Node(tag, dict(attrs))
+        if tag in UNDRAWN and self._foreign():
+            node.attrs["hidden"] = ""
         if tag in VOID:
             self.open[-1].children.append(node)
         else:
@@ -89,7 +94,12 @@ class TreeBuilder(HTMLParser):
         self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
+        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML itself
+        if tag not in VOID and self.open[-1].tag == tag and self._foreign():
+            del self.open[-1]
+
+    def _foreign(self) -> bool:
+        return any(n.tag in FOREIGN for n in reversed(self.open))
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -183,7 +193,7 @@ def render(top: Node) -> list[str]:
                 out.feed(True)
             out.gap = not nested
         else:
-            block = node.tag in BLOCK
+            block = node.tag in BLOCK or node.tag in ("option", "optgroup")
             if block:
                 out.feed()
                 out.gap = out.gap or node.tag in SPACED
@@ -228,6 +238,8 @@ def table_lines(node: Node) -> list[str]:
             if isinstance(child, str) and child.strip():
                 captions.append(BLANKS.sub(" ", child).strip())
         elif child.tag == "tr":
+            captions += [BLANKS.sub(" ", c).strip() for c in child.children
+                         if isinstance(c, str) and c.strip()]  # shown before the table
             rows.append([c for c in child.children if isinstance(c, Node) and not c.hidden()])
         elif child.tag in ("tbody", "thead", "tfoot", "colgroup"):
             todo += reversed(child.children)

@@ -269,3 +269,13 @@ def test_page_layout():
         "One\n\ntwo bold\nline\n\n- a\n- b\n  3. c\n\nName  N\nx     10\n\n  a\n b\n\n& end")
     assert html_text.page_text("<div>" * 3000 + "deep") == "deep"
     assert html_text.page_text(None) == ""
+
+
+def test_text_of_rows_drawings_and_fields():
+    assert html_text.page_text("<table><tr>note<td>a</td> more<td>b</tr></table>") == (
+        "note\nmore\na  b")
+    page = ("<p>x <math><mi>y</mi><annotation>no</annotation></math><svg><title/><desc>no</desc>"
+            "<path/><text>z</text></svg><p><select><option>one<option>two</select>"
+            "<textarea>three</textarea><p><svg/>end")
+    assert html_text.page_text(page).split() == ["x", "yz", "one", "two", "three", "end"]
+    assert "no" not in html_text.page_text(page)
