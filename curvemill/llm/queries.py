@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curvemill.llm import (html_text, leaks, licenses, lm, neardup, packing, pii, quality,
-                           secrets, sharding, sql)
+from curvemill.llm import (frames, html_text, leaks, licenses, lm, neardup, negatives, packing,
+                           pii, quality, secrets, sharding, sql, warc)
 from curvemill.llm.common import table, write
+from curvemill.staging import shared_folder
 
 SHARDS = 24
 PSEUDONYM_KEY = "curvemill"
@@ -117,6 +120,31 @@ def op10_host_quality(spark: SparkSession, folder: str) -> DataFrame:
         "kept")])
 
 
+def op11_seekable_fim(spark: SparkSession, folder: str) -> DataFrame:
+    stored, name = frames.store(table(spark, folder, "documents"), keep=["doc_id"])
+    done, fim = frames.transform(write(stored, "fim-frames", codec="uncompressed").df, name, "doc_id")
+    restored = frames.restore(F.col(f"{fim}.output"), F.col(f"{fim}.form"))
+    return done.select("doc_id", *[f"{fim}.{c}" for c in (
+        "n", "form", "prefix_chars", "middle_chars", "output_sha256")],
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_zstd_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    found = warc.read_archives(spark, archives, payloads=False)
+    valid = F.when(F.col("error").isNotNull(), F.raise_error(F.concat("path", F.lit(": "), "error")))
+    return found.select(
+        F.coalesce(valid.cast("bigint"), F.col("key").cast("bigint")).alias("page_id"),
+        "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint"))
+
+
+def op13_segment_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), label=shifted,
+                          anchors=F.col("vec_id") % 50 == 0, scale=256.0)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,6 +154,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (
     op1_html_extraction, op2_secret_scan, op3_pii_pseudonyms, op4_class_lm, op5_nnls_packing,
     op6_hypergeometric_shards, op7_license_scan, op8_odd_sketch_dedup,
-    op9_positional_decontamination, op9_proximity_matches, op10_host_quality, pipeline)}
+    op9_positional_decontamination, op9_proximity_matches, op10_host_quality, op11_seekable_fim,
+    op12_zstd_warc, op13_segment_negatives, pipeline)}
 
 SQL: dict[str, str] = dict(sql.SQL)

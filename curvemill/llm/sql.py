@@ -109,5 +109,70 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from r join v using (host)
 """
 
+FIM = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('42:' || doc_id) as h,
+    regexp_extract_all(coalesce(text, ''),
+                       '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+  from documents),
+c as (
+  select *, len(u) as n, cast('0x' || h[1:8] as bigint) % (len(u) + 1) as x,
+    cast('0x' || h[9:16] as bigint) % (len(u) + 1) as y,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+           or cast('0x' || h[17:24] as bigint) % 100 >= 50 then 'plain'
+         when cast('0x' || h[25:32] as bigint) % 100 < 80 then 'spm' else 'psm' end as form
+  from d),
+p as (
+  select *, array_to_string(u[1:least(x, y)], '') as prefix,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') as middle,
+    array_to_string(u[greatest(x, y) + 1:n], '') as suffix from c)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then t
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(t) as restored_sha256
+from p
+"""
+
+WARC = """
+with p as (
+  select page_id, coalesce(html, '') as t, sha1(coalesce(html, '')) as h,
+    min(page_id) over (partition by coalesce(html, '')) as first from pages)
+select page_id, cast(strlen(t) as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + cast((cast('0x' || h[5 * (i // 4) + 1:5 * (i // 4) + 5] as bigint)
+              >> cast(15 - 5 * (i % 4) as bigint)) & 31 as integer), 1)), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from p
+"""
+
+NEGATIVES = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+    cast(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) as bigint)
+      as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+pos as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select pos.anchor_id, positive_id, cast(row_number() over (
+    partition by pos.anchor_id, positive_id order by score desc, other_id) as integer) as rank,
+  other_id as negative_id, positive_score, score as negative_score
+from pos join s on s.anchor_id = pos.anchor_id and not same
+  and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
 SQL = {"op8_odd_sketch_dedup": NEAR, "op9_positional_decontamination": LEAKS,
-       "op10_host_quality": QUALITY}
+       "op10_host_quality": QUALITY, "op11_seekable_fim": FIM, "op12_zstd_warc": WARC,
+       "op13_segment_negatives": NEGATIVES}
