@@ -14,6 +14,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain, islice
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -90,16 +91,14 @@ def dictionary_of(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
 
 def frames_of(records: Iterator[bytes]) -> Iterator[bytes]:
     """The dictionary frame, if there is a dictionary, and one frame per record."""
-    first = [r for r, _ in zip(records, range(SAMPLE_RECORDS))]
+    first = list(islice(records, SAMPLE_RECORDS))
     trained = dictionary_of([r[:SAMPLE_BYTES] for r in first])
     if trained:
         trained.precompute_compress(level=LEVEL)
         content = zstandard.ZstdCompressor(level=19).compress(trained.as_bytes())
         yield struct.pack("<II", DICTIONARY_FRAME, len(content)) + content
     packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=trained, write_checksum=True)
-    while first:
-        yield packer.compress(first.pop(0))
-    for record in records:
+    for record in chain(first, records):
         yield packer.compress(record)
 
 
