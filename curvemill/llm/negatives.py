@@ -167,7 +167,8 @@ def candidates(a: Block, b: Block, low: np.ndarray, high: np.ndarray, allowed: n
     needs any more leave the level's matrices.
     """
     rows, alive, at = np.arange(len(b)), allowed, 0
-    low, high = low.astype(np.float64)[:, None], high.astype(np.float64)[:, None]
+    low = np.where(low <= LEAST, -np.inf, low.astype(np.float64))[:, None]
+    high = np.where(high >= MOST, np.inf, high.astype(np.float64))[:, None]
     for starts in segments(a.dim):
         some = alive.any(axis=0)
         rows, alive = rows[some], alive[:, some]
@@ -286,11 +287,10 @@ def _other_labels(left: pa.Table, right: pa.Table, k: int) -> Iterator[list[pa.A
         yield _rows_of(tile, rows, best_in_windows(tile, rows, part[:, :, 0], part[:, :, 1], k, False))
 
 
-def _share(score: Column, percent: int, up: bool) -> Column:
-    """``percent`` hundredths of a long, rounded up or down, without overflow."""
-    rest = F.pmod(score, F.lit(100))
-    part = F.ceil(rest * percent / 100) if up else F.floor(rest * percent / 100)
-    return ((score - rest) / 100).cast("bigint") * percent + part
+def _share(score: str, percent: int, up: bool) -> Column:
+    """``percent`` hundredths of a long column, rounded up or down, without overflow."""
+    part = F.col(score) % 100 * percent / 100
+    return F.expr(f"{score} div 100") * percent + (F.ceil(part) if up else F.floor(part))
 
 
 def mine(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
@@ -327,8 +327,8 @@ def mine(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
     best = write(_first(_pairs(row_blocks, blocks(asked_rows.df, counts[0], 2), counts, same), positives)
                  .select("anchor", "anchor_id", F.col("rank").alias("at"), F.col("other_id").alias(
                      "positive_id"), F.col("score").alias("positive_score")), "mine-positives").df
-    low = _share(F.col("positive_score"), low_percent, True)
-    high = _share(F.col("positive_score"), high_percent, False)
+    low = _share("positive_score", low_percent, True)
+    high = _share("positive_score", high_percent, False)
     none = F.array(F.lit(MOST), F.lit(LEAST))
     ends = [F.coalesce(F.max(F.when(F.col("at") == i + 1, F.array(low, high))), none)
             for i in range(positives)]
