@@ -21,6 +21,7 @@ from curvemill.operators.lookups import unparsed_dates
 from curvemill.plans import hedged, unhedged
 from curvemill.plans.hedged import HedgedInputs, HedgedRules
 from curvemill.plans.unhedged import UnhedgedInputs, UnhedgedRules
+from curvemill.sources.loads import write_load
 from curvemill.sources.sinks import add_audit_columns, write_table
 from curvemill.staging import stage
 
@@ -37,13 +38,20 @@ class JobReport:
 
 def table_writer(targets: Mapping[str, str], kind: str, now: Column, zone: str,
                  reporting_date: date | None = None, valuation_date: date | None = None,
-                 partition_by: Mapping[str, str] | None = None) -> Writer:
-    """A writer that stamps each result with its audit columns and appends it."""
+                 partition_by: Mapping[str, str] | None = None, load: str | None = None) -> Writer:
+    """A writer that stamps each result with its audit columns and appends it.
+
+    With the name of a ``load`` the targets are folders of loads, and a job that is repeated under
+    the same name replaces what it wrote before.
+    """
 
     def write(df: DataFrame, name: str) -> None:
         stamped = add_audit_columns(df, kind, now, zone, reporting_date=reporting_date,
                                     valuation_date=valuation_date)
-        write_table(stamped, targets[name], partition_by=(partition_by or {}).get(name))
+        if load:
+            write_load(stamped, targets[name], load)
+        else:
+            write_table(stamped, targets[name], partition_by=(partition_by or {}).get(name))
 
     return write
 

@@ -22,6 +22,7 @@ from curvemill.operators.quality import duplicate_keys
 from curvemill.operators.scenarios import (
     pair_scenarios, parallel_gamma, scenario_losses, second_order, shock_rows,
     sum_product, with_quantile)
+from curvemill.sources.sinks import write_bucketed
 from curvemill.sources.snapshots import latest_snapshot
 from curvemill.staging import BROADCAST_ROWS, Staged, stage
 
@@ -194,6 +195,26 @@ def total_losses(first: DataFrame, second: DataFrame) -> DataFrame:
                                   normalized={PORTFOLIO: normalize_text(PORTFOLIO)})
 
 
+STORED_KEYS = [*[k for k in LOSS_KEYS if k != PORTFOLIO], "portfolio_key", "scenario"]
+
+
+def store_losses(losses: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Write a loss table laid out for the total: bucketed and sorted by the keys of its join.
+
+    The portfolio is compared without regard to case and blanks, so its normalised name is a
+    column of the table and one of the keys.
+    """
+    write_bucketed(losses.withColumn("portfolio_key", normalize_text(PORTFOLIO)), table,
+                   STORED_KEYS, buckets, path)
+
+
+def total_of_stored(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Total of two tables of ``store_losses``; with equal buckets nothing is exchanged."""
+    right = second.select(*STORED_KEYS, F.col("amount").alias("_second"))
+    return first.join(right, STORED_KEYS).select(
+        *LOSS_KEYS, "scenario", (F.col("amount") + F.col("_second")).alias("amount"))
+
+
 def with_average(shocks: DataFrame, average: DataFrame) -> DataFrame:
     """Scenario rows with their average shock: one row per scenario on both sides."""
     averages = average.select(F.upper("currency").alias("currency"), "scenario",

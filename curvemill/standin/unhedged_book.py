@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from curvemill.operators.curves import curve_points, tail_average, tenor_months
 from curvemill.plans import unhedged
 from curvemill.plans.unhedged import UnhedgedRules
 from curvemill.sources.snapshots import literal_rows
-from curvemill.staging import Staged, stage
+from curvemill.staging import Staged, shared_folder, stage
 from curvemill.standin.book import (
     SHOCK_SQL, TENORS, customers, exposure_rows, per_customer, region_names, scenario_table,
     shock_points, with_mask)
@@ -211,3 +213,14 @@ def total_loss_of_tables(t: Tables) -> DataFrame:
     """The same total from the two stored loss tables."""
     return unhedged.total_losses(stage(first_order(t), "first").df,
                                  stage(second_order(t), "second").df)
+
+
+@check(f"WITH {BOOK_SQL} SELECT * FROM total")
+def total_loss_of_buckets(t: Tables) -> DataFrame:
+    """The same total from two loss tables that are laid out for their join."""
+    tables = []
+    for losses in (first_order(t), second_order(t)):
+        name = f"losses_{uuid.uuid4().hex}"
+        unhedged.store_losses(losses, name, 8, f"{shared_folder(t.spark)}/{name}")
+        tables.append(t.spark.read.table(name))
+    return unhedged.total_of_stored(*tables)
