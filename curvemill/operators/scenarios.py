@@ -14,7 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvemill.operators.curves import curve_rows, mask_columns
-from curvemill.staging import BROADCAST_ROWS, Staged, join_small
+from curvemill.staging import BROADCAST_ROWS, Staged, join_small, stage
+
+# Ranges of values that the bracket of a quantile is cut into.
+RANGES = 1024
 
 
 def shock_rows(shocks: DataFrame, curve: list[str], scenario: str, tenor: str, shock: str,
@@ -104,34 +107,66 @@ def quantile_by(losses: DataFrame, keys: list[str], amount: str, quantile: str,
     second pass counts what lies below it and ranks only the values inside, a share of
     4 / ``accuracy`` of the rows, so no group is gathered in one task.
     """
-    names = [f"_key{i}" for i in range(len(keys))]
-    values = losses.where(F.col(amount).isNotNull()).select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(amount).alias("_value"))
+    names, values = quantile_values(losses, keys, amount)
     ends = F.array(F.lit(max(p - 2 / accuracy, 0.0)), F.lit(min(p + 2 / accuracy, 1.0)))
     near = values.groupBy(*names).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_value", ends, accuracy).alias("_ends"))
-    near = near.select(*[F.col(n).alias(f"_{n}") for n in names], F.ceil(
-        F.round(F.col("_n") * F.lit(p), 6)).alias("_rank"),
-        F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
+    near = near.select(*names, rank_of("_n", p).alias("_rank"),
+                       F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"))
+    found = value_of_rank(values, near, names)
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], F.col("_found").alias(quantile))
+
+
+def quantile_values(losses: DataFrame, keys: list[str], amount: str) -> tuple[list[str], DataFrame]:
+    """The keys and the amounts that are not null, under names that can't clash."""
+    names = [f"_key{i}" for i in range(len(keys))]
+    return names, losses.where(F.col(amount).isNotNull()).select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(amount).alias("_value"))
+
+
+def rank_of(count: str, p: float) -> Column:
+    return F.greatest(F.ceil(F.round(F.col(count) * F.lit(p), 6)), F.lit(1))
+
+
+def value_of_rank(values: DataFrame, near: DataFrame, names: list[str]) -> DataFrame:
+    """(keys, _found): per group the value of its rank, null if it is not inside the bracket.
+
+    ``near`` has per group the rank and a bracket of values, from _low to _high. Rows with one
+    value are counted together first. The bracket is cut into ranges of equal width; their
+    counts say which one holds the rank, and only the values of that range meet in a task.
+    """
+    near = near.select(*[F.col(n).alias(f"_{n}") for n in names], "_rank", "_low", "_high")
     same = [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]
+    width = F.col("_high") - F.col("_low")
+    place = F.floor((F.col("_value") - F.col("_low")) / width * RANGES).cast("int")
+    part = F.when(F.col("_value") < F.col("_low"), F.lit(-1)).when(
+        (width > 0) & (width < float("inf")), F.least(place, F.lit(RANGES - 1))).otherwise(F.lit(0))
+    inside = F.when(F.col("_value") >= F.col("_low"), F.col("_value"))
     cells = values.join(near, same).where("_value <= _high").groupBy(
-        *names, F.when(F.col("_value") >= F.col("_low"), F.col("_value")).alias("_inside")).agg(
+        *names, part.alias("_part"), inside.alias("_inside")).agg(
         F.count(F.lit(1)).alias("_rows"), F.first("_rank").alias("_rank"))
-    upto = Window.partitionBy(*names).orderBy(F.col("_inside").asc_nulls_first())
-    ranked = cells.withColumn("_upto", F.sum("_rows").over(upto))
-    found = ranked.groupBy(*names).agg(F.min(F.when(
-        (F.col("_upto") >= F.greatest("_rank", F.lit(1))), F.col("_inside"))).alias(quantile))
-    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], quantile)
+    upto = Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = cells.groupBy(*names, "_part").agg(F.sum("_rows").alias("_rows"), F.first("_rank").alias("_rank"))
+    holds = parts.withColumn("_before", F.coalesce(F.sum("_rows").over(upto), F.lit(0))).where(
+        "_part >= 0 and _before < _rank and _before + _rows >= _rank")
+    holds = holds.select(*[F.col(n).alias(f"_{n}") for n in names], F.col("_part").alias("_holds"),
+                         (F.col("_rank") - F.col("_before")).alias("_left"))
+    within = cells.join(holds, [*same, F.col("_part") == F.col("_holds")])
+    order = Window.partitionBy(*names).orderBy("_inside")
+    return within.withColumn("_upto", F.sum("_rows").over(order)).where("_upto >= _left") \
+        .groupBy(*names).agg(F.min("_inside").alias("_found"))
 
 
 def with_quantile(losses: DataFrame, keys: list[str], amount: str, quantile: str,
                   p: float = 0.95, small: bool = False) -> DataFrame:
     """Every row with the quantile of its group; rows with a null key drop out.
 
-    ``small`` states that the number of groups was checked, which allows to broadcast
-    the quantiles; otherwise Spark decides, splitting hot groups in a shuffle join.
+    The losses are staged, so that the sketch, the bracket and the result read them and do not
+    compute them again. ``small`` states that the number of groups was checked, which allows to
+    broadcast the quantiles; otherwise Spark decides, splitting hot groups in a shuffle join.
     """
+    losses = stage(losses, "losses").df
     stat = quantile_by(losses, keys, amount, quantile, p)
     return losses.join(F.broadcast(stat) if small else stat, keys) \
         .select(*losses.columns, quantile)

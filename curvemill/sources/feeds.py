@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,33 +25,34 @@ LOWEST = {
 
 
 def read_delimited(spark: SparkSession, folder: str, schema: str, pattern: str | None = None,
-                   delimiter: str = ",", header: bool = True,
-                   date_format: str = "yyyy-MM-dd") -> DataFrame:
+                   delimiter: str = ",", header: bool = True, date_format: str = "yyyy-MM-dd",
+                   positional: bool = False) -> DataFrame:
     """Delimited files of a folder whose names match ``pattern``, under a declared schema.
 
-    A declared schema reads the files once; inference would read them twice. With a header
-    that holds all names of the schema the columns are found by name, in any order and case.
-    Other names in the header are renamed by position, but a name of the schema at another
-    position then fails. The result has the names and order of the schema.
+    A declared schema reads the files once; inference would read them twice. Under a header the
+    columns are found by name, in any order and case, and a file whose header differs from the
+    first one's fails. Other names in the header fail as well, unless ``positional`` says that
+    the columns are meant by their position. The result has the names and order of the schema.
     """
-    reader = (spark.read.option("header", header).option("sep", delimiter)
-              .option("dateFormat", date_format))
+    reader = spark.read.option("sep", delimiter).option("dateFormat", date_format)
+    reader, found = under_header(reader, folder, T.StructType.fromDDL(schema), pattern, header, positional)
+    return reader.schema(found).csv(folder).select(*T.StructType.fromDDL(schema).names)
+
+
+def under_header(reader: DataFrameReader, folder: str, schema: T.StructType, pattern: str | None,
+                 header: bool, positional: bool) -> tuple[DataFrameReader, T.StructType]:
+    """The reader with its options, and the fields of ``schema`` in the order of the files."""
+    reader = reader.option("header", header)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if not header:
-        return reader.schema(schema).csv(folder)
-    fields = T.StructType.fromDDL(schema).fields
+    if not header or positional:
+        return reader, schema
     names = [c.strip().lower() for c in reader.csv(folder).columns]
-    declared = [f.name.lower() for f in fields]
-    if names == declared or not set(names) & set(declared):
-        return reader.schema(schema).csv(folder)
-    if set(names) == set(declared):
-        found = T.StructType([fields[declared.index(n)] for n in names])
-        return reader.schema(found).csv(folder).select(*[f.name for f in fields])
-    if len(names) != len(declared) or any(
-            n in declared and n != d for n, d in zip(names, declared)):
+    declared = [f.name.lower() for f in schema]
+    if sorted(names) != sorted(declared):
         raise ValueError(f"The header has {names}, the schema {declared}")
-    return reader.schema(schema).csv(folder)
+    return reader.option("enforceSchema", False), T.StructType(
+        [schema.fields[declared.index(n)] for n in names])
 
 
 def read_database(spark: SparkSession, url: str, table: str, *, split_by: str | None = None,

@@ -3,5 +3,5 @@
 from __future__ import annotations
 
 from curvemill.standin import (  # noqa: F401
-    dense_book, enriching, forms, hedged_book, loading, losses, reading, unhedged_book)
+    dense_book, enriching, forms, hedged_book, loading, losses, matching, reading, unhedged_book)
 from curvemill.standin.registry import QUERIES, SQL  # noqa: F401

@@ -73,8 +73,10 @@ def test_delimited_files_by_pattern(spark, tmp_path):
     (tmp_path / "rates 1.csv").write_text("CODE;RATE;DATE\nUSD;1.5;2026-03-31\n")
     (tmp_path / "rates 2.csv").write_text("CODE;RATE;DATE\nEUR;;2026-03-31\n")
     (tmp_path / "other.csv").write_text("x\n1\n")
-    df = feeds.read_delimited(spark, str(tmp_path), "code string, rate double, day date",
-                              "rates*.csv", delimiter=";")
+    names = "code string, rate double, day date"
+    with pytest.raises(ValueError, match="The header has"):
+        feeds.read_delimited(spark, str(tmp_path), names, "rates*.csv", delimiter=";")
+    df = feeds.read_delimited(spark, str(tmp_path), names, "rates*.csv", delimiter=";", positional=True)
     assert as_tuples(df) == [("EUR", None, date(2026, 3, 31)), ("USD", 1.5, date(2026, 3, 31))]
 
 
@@ -190,6 +192,13 @@ def test_delimited_columns_follow_the_header(spark, tmp_path):
         feeds.read_delimited(spark, str(tmp_path), "rate_a double, other double")
 
 
+def test_every_file_has_the_header_of_the_first(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n1,2\n")
+    (tmp_path / "b.csv").write_text("B,A\n1,2\n")
+    with pytest.raises(Exception, match="CSV header does not conform|FAILED_READ_FILE|header"):
+        feeds.read_delimited(spark, str(tmp_path), "a int, b int").collect()
+
+
 def test_watermark_names_match_in_any_case(spark):
     source = spark.createDataFrame([(1,), (3,)], "Ingestion_TS int")
     assert feeds.incremental_rows(source, source.limit(1), "INGESTION_TS").count() == 1
