@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -164,3 +165,37 @@ SELECT 'asset' AS asset_type, DATE '2026-04-01' AS inception_date, program_code,
        CAST(tenor_cd AS DOUBLE) AS tenor_cd, CAST(price AS DOUBLE) AS dv01_value FROM long""")
 def hedged_long_sensitivities(t: Tables) -> DataFrame:
     return hedged.long_sensitivities(feeds(t))
+
+
+DATED_SQL = (NET_SQL
+             .replace("SELECT feed.program_code,", "SELECT CASE flag WHEN 'N' THEN DATE '2025-12-31' "
+                      "ELSE DATE '2026-03-31' END AS report_date, feed.program_code,")
+             .replace("v(security_currency, fx)),", "v(security_currency, fx)),\n"
+                      "dated AS (SELECT security_currency, DATE '2026-03-31' AS report_date, fx FROM rate "
+                      "UNION ALL SELECT 'XDD', DATE '2025-12-31', 3.5),")
+             .replace("DATE '2026-03-31' AS report_date, security_currency,\n", "report_date, security_currency,\n")
+             .replace("LEFT JOIN rate USING (security_currency))",
+                      "LEFT JOIN dated USING (security_currency, report_date))"))
+
+
+@check(f"WITH {DATED_SQL} SELECT * FROM net")
+def hedged_net_exposure_by_inception(t: Tables) -> DataFrame:
+    """Report dates that follow from the inception dates, and rates of these dates."""
+    given = inputs(t)
+    first = {"n": "2026-01-01"}
+    dated = [f.withColumn("inception_date", F.lit(first.get(c, "2026-04-01"))) for c, f in zip("anr", feeds(t))]
+    rates = literal_rows(t.spark, RATES, "code string, bs_rate double, date date, ingestion_ts int") \
+        .withColumn("date", F.date_format("date", "dd-MMM-yy"))
+    return hedged.net_exposure(*hedged.net_exposure_rows(
+        replace(given, feeds=dated, rates=rates), replace(RULES, quarter=None)))
+
+
+@check(f"""WITH {NET_SQL}
+SELECT DISTINCT lowest_level_portfolio_name FROM net
+WHERE lowest_level_portfolio_name IN ('Book 2', 'Book 5') OR lowest_level_portfolio_name IS NULL""")
+def portfolios_without_tax(t: Tables) -> DataFrame:
+    """Portfolios that the hierarchy does not hold, and rows that have no portfolio."""
+    given = inputs(t)
+    less = given.hierarchy.where(~F.lower("lowest_level_portfolio_name").rlike("^book +[25]$"))
+    rows, _ = hedged.net_exposure_rows(replace(given, hierarchy=less), RULES)
+    return hedged.lookup_reports(stage(rows, "net").df)["tax"]

@@ -64,6 +64,14 @@ def scenario_loss(t: Tables) -> DataFrame:
     return losses(t)
 
 
+@check(f"{LOSS_SQL} SELECT * FROM loss")
+def scenario_loss_shuffled(t: Tables) -> DataFrame:
+    """The same when the exposure is too large to be copied."""
+    return scenario_losses(staged_exposure(t), scenario_table(t), keys=GROUP,
+                           curve=["currency"], scenario="scenario", tenors=TENORS,
+                           multiplier=100.0, limit=0)
+
+
 @check(f"""{LOSS_SQL}
 SELECT segment, currency, quantile_disc(loss, 0.95) AS quantile FROM loss GROUP BY ALL""")
 def scenario_quantile(t: Tables) -> DataFrame:

@@ -69,7 +69,7 @@ def shock_set_for_date(t: Tables) -> DataFrame:
     return snapshots.shock_set_for_date(plain, late, "month_end", "not_after", True)
 
 
-@check("""
+CONTEXT_SQL = """
 WITH today AS (SELECT max(CAST(o_orderdate AS DATE)) AS d FROM orders)
 SELECT a.*, b.* FROM
  (SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey AS date_key, o_orderstatus AS status
@@ -78,7 +78,10 @@ SELECT a.*, b.* FROM
  (SELECT max(CAST(l_shipdate AS DATE)) AS forecast_day FROM lineitem
   WHERE year(l_shipdate) = (SELECT max(year(l_shipdate)) FROM lineitem)
     AND CAST(l_shipdate AS DATE) <= (SELECT d FROM today)) b
-WHERE forecast_day IS NOT NULL""")
+WHERE forecast_day IS NOT NULL"""
+
+
+@check(CONTEXT_SQL)
 def date_context(t: Tables) -> DataFrame:
     dates = t.orders.select(F.col("o_orderdate").cast("date").alias("day"),
                             F.col("o_orderkey").alias("date_key"),
@@ -92,6 +95,14 @@ def date_context(t: Tables) -> DataFrame:
                                   forecast_day="forecast_day", order=["date_key"])
 
 
+@check(CONTEXT_SQL)
+def required_context(t: Tables) -> DataFrame:
+    """The context row that a job goes on with; it fails where there is none."""
+    context = date_context(t)
+    row = snapshots.require_context(context, "forecast_day")
+    return t.spark.createDataFrame([row], context.schema)
+
+
 @check("""
 SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events
                                  WHERE ts < TIMESTAMP '2024-01-20 00:00:00')""")

@@ -200,6 +200,13 @@ def second_order_loss(t: Tables) -> DataFrame:
     return second_order(t)
 
 
+@check(f"WITH {BOOK_SQL} SELECT * FROM second_order")
+def second_order_loss_shuffled(t: Tables) -> DataFrame:
+    """The same when the gammas are too many to be copied."""
+    return unhedged.second_order_losses(unhedged.gamma_rows(gamma_table(t)), average_shocks(t), RULES,
+                                        limit=0)
+
+
 @check(f"WITH {BOOK_SQL} SELECT * FROM total")
 def total_loss(t: Tables) -> DataFrame:
     """Both orders in one pass over the scenarios."""
