@@ -1,6 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
-from math import comb
+from math import comb, isqrt
 
 import numpy as np
 import pytest
@@ -184,6 +184,76 @@ def test_sharding(odd, none):
     assert sharding.deal(none, 4).count() == 0
     with pytest.raises(ValueError, match="shard or slot"):
         sharding.deal(odd.withColumn("Slot", F.lit(1)), 4)
+    clash = odd.withColumns({c: F.lit(1) for c in (
+        "_metadata", "path", "path_", "at", "part", "base", "place", "file", "n", "_g", "_cell", "_ends")})
+    assert sharding.deal(clash, 4).drop("shard", "slot").exceptAll(clash).count() == 0
+
+
+def test_permutations_are_one_to_one():
+    for n in (1, 2, 3, 5, 24, 1000, 65_537):
+        x = np.arange(n)
+        got = sharding.permuted(x, np.full(n, n), np.full(n, 12345 + n, np.uint64))
+        assert sorted(got) == list(range(n)) and (n < 24 or (got != x).any())
+    seen = np.zeros((4, 4))
+    for key in sharding.keys_of(3, 1, 20_000):
+        seen[np.arange(4), sharding.permuted(np.arange(4), np.full(4, 4), np.full(4, key))] += 1
+    assert np.abs(seen / 20_000 - 0.25).max() < 0.02
+    large = np.array([0, 1, 2 ** 50 - 1])
+    got = sharding.permuted(large, np.full(3, 2 ** 50), np.full(3, 9, np.uint64))
+    assert len(set(got)) == 3 and got.min() >= 0 and got.max() < 2 ** 50
+
+
+def permuted_by_hand(x, n, key):
+    mask = 2 ** 64 - 1
+
+    def mixed(number, value):
+        h = (key + (number + 1) * 0x9E3779B97F4A7C15 + value * 0xD1B54A32D192ED03) & mask
+        h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & mask
+        h = ((h ^ h >> 27) * 0x94D049BB133111EB) & mask
+        return h ^ h >> 31
+
+    a = max(1, isqrt(n - 1) + 1)
+    b = -(-n // a)
+    while True:
+        high, low = divmod(x, b)
+        for i in range(8):
+            if i % 2:
+                low = (low + mixed(i, high)) % b
+            else:
+                high = (high + mixed(i, low)) % a
+        x = high * b + low
+        if x < n:
+            return x
+
+
+def test_deal_by_hand_and_under_any_split(spark, tmp_path):
+    """Parts, runs and slots counted out row by row; other splits of the files change nothing."""
+    shards, seed, rows = 5, 11, []
+    for f, n in enumerate((40, 1, 77, 13)):
+        part = [(f * 1000 + i, f"text {i}") for i in range(n)]
+        folder = str(tmp_path / f"{f}")
+        spark.createDataFrame(part, "id long, text string").coalesce(1).write.parquet(folder)
+        rows.append(part)
+    read = lambda: spark.read.parquet(*[str(tmp_path / f"{f}") for f in range(4)])
+    matrix = sharding.communication_matrix(np.array([40, 1, 77, 13] + [0] * 1020), shards, seed)
+    want, filled = {}, [0] * shards
+    for f, part in enumerate(rows):
+        n, runs = len(part), [s for s in range(shards) for _ in range(matrix[f, s])]
+        dealt = {permuted_by_hand(i, n, int(sharding.keys_of(seed, 1, 1024)[f])): row for i, row in enumerate(part)}
+        for rank, s in enumerate(runs):
+            total, key = int(matrix[:, s].sum()), int(sharding.keys_of(seed, 2, shards)[s])
+            want[dealt[rank][0]] = s, permuted_by_hand(filled[s], total, key)
+            filled[s] += 1
+    got = {r.id: (r.shard, r.slot) for r in sharding.deal(read(), shards, seed).collect()}
+    assert got == want
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        assert {r.id: (r.shard, r.slot) for r in sharding.deal(read(), shards, seed).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    some = sharding.deal(read().where("id % 2 = 0"), shards, seed).groupBy("shard").count().collect()
+    assert max(r["count"] for r in some) - min(r["count"] for r in some) <= 1
 
 
 def test_matrix_has_exact_margins():
