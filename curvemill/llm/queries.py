@@ -59,8 +59,8 @@ def op4_class_lm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_nnls_packing(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = packing.packed_pieces(table(spark, folder, "documents"), tokenizer_path())
-    return write(pieces, "pack-sequences", codec="zstd").df.drop("ids")
+    return packing.packed_pieces(table(spark, folder, "documents"), tokenizer_path(),
+                                 ordered=False).drop("ids")
 
 
 def op6_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:

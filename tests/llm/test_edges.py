@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import json
 from math import comb, isqrt
 
 import numpy as np
@@ -169,6 +170,41 @@ def test_packed_ids_make_up_sequences(odd):
         assert ids == encode(text) + np.array([packing.END_ID], "<u4").tobytes()
 
 
+def test_solved_combinations_take_most_rests():
+    rng = np.random.default_rng(1)
+    lengths = np.minimum(rng.lognormal(6, 0.8, 3000).astype(int) + 1, 2047)
+    sequence, offset, count = packing.combined(lengths, 2048)
+    assert lengths[sequence >= 0].sum() > 0.5 * lengths.sum()
+    for s in range(count):
+        own = np.flatnonzero(sequence == s)
+        own = own[np.argsort(offset[own])]
+        assert lengths[own].sum() == 2048
+        assert offset[own].tolist() == [0, *np.cumsum(lengths[own])[:-1]]
+    assert packing.combined(np.zeros(0, int), 2048)[2] == 0
+    assert packing.combined(np.full(5, 1024), 2048)[2] == 2
+
+
+def test_packing_in_small_chunks(odd, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_TOKENS", 100)
+    monkeypatch.setattr(packing, "BATCH_ROWS", 3)
+    rows = packing.packed_pieces(odd.repartition(3), queries.tokenizer_path(), window=64).toPandas()
+    full = rows.groupby("sequence_id").length.sum()
+    assert sorted(full.index) == list(range(len(full))) and (full[:-1] == 64).all() and full.iloc[-1] <= 64
+    for _, g in rows.sort_values("offset").groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *np.cumsum(g.length)[:-1]]
+    assert rows.length.sum() == rows[rows.start == 0].doc_tokens.sum()
+
+
+def test_ranks_need_merges_in_order(tmp_path):
+    given = json.load(open(queries.tokenizer_path()))
+    assert len(packing.merge_ranks(queries.tokenizer_path())) == 50_256
+    merges = given["model"]["merges"]
+    for change in ({"merges": [merges[1], merges[0], *merges[2:]]}, {"ignore_merges": True}, {"dropout": 0.1}):
+        path = tmp_path / "changed.json"
+        path.write_text(json.dumps({**given, "model": {**given["model"], **change}}))
+        assert packing.merge_ranks(str(path)) is None
+
+
 def test_rare_signs_take_the_whole_tokenizer():
     encode = packing.encoder(queries.tokenizer_path())
     tok = packing.tokenizer(queries.tokenizer_path())[0]
