@@ -139,12 +139,13 @@ def judge(df: DataFrame, text: str = "text", host: str = "source",
                                  .withField("soft_failed", soft))
     rows = write(counted, "quality-rules").df
     failed = F.col(f"{rules}.base_failed") | F.col(f"{rules}.soft_failed")
+    name, rate, rejected = (fresh(rows, x) for x in ("judged_host", "rate", "rejected"))
     found = host_rates(rows.select(F.col(f"{rules}.host").alias("host"), failed.alias("bad")),
                        "host", "bad").select(
-        F.col("host").alias("_host"), F.col("rate").alias("_rate"),
-        (F.col("rate") - 2 * F.col("deviation") > REJECT_RATE).alias("_rejected"))
-    joined = rows.join(found, F.col(f"{rules}.host") == F.col("_host"))
-    kept = ~F.col(f"{rules}.base_failed") & ~F.col("_rejected") & ~(
-        F.col(f"{rules}.soft_failed") & (F.col("_rate") > STRICT_RATE))
-    return joined.select(*keep, F.col(rules).withField("host_rate", F.col("_rate"))
+        F.col("host").alias(name), F.col("rate").alias(rate),
+        (F.col("rate") - 2 * F.col("deviation") > REJECT_RATE).alias(rejected))
+    joined = rows.join(found, F.col(f"{rules}.host") == F.col(name))
+    kept = ~F.col(f"{rules}.base_failed") & ~F.col(rejected) & ~(
+        F.col(f"{rules}.soft_failed") & (F.col(rate) > STRICT_RATE))
+    return joined.select(*keep, F.col(rules).withField("host_rate", F.col(rate))
                          .withField("kept", kept).alias(rules)), rules

@@ -385,3 +385,34 @@ def test_text_of_rows_drawings_and_fields():
             "<textarea>three</textarea><p><svg/>end")
     assert html_text.page_text(page).split() == ["x", "yz", "one", "two", "three", "end"]
     assert "no" not in html_text.page_text(page)
+
+
+def test_quality_with_clashing_helpers(odd):
+    names = ("_host", "_rate", "_rejected", "judged_host", "rate", "rejected", "windows", "host")
+    clash = odd.withColumns({c: F.lit("x") for c in names})
+    judged, rules = quality.judge(clash)
+    assert judged.drop(rules).exceptAll(clash).count() == 0 and judged.count() == clash.count()
+
+
+def test_pipeline_end_to_end_on_odd_rows(spark, tmp_path):
+    """Nulls, repeated rows, clashing names and an empty table through all five stages."""
+    import corpus_pipeline
+
+    good = [f"alpha{i % 7} beta{i} gamma{i % 5} delta{i * 3}" for i in range(40)]
+    text = "\n".join(good)
+    rows = [(1, text, "en", "h", 9), (2, text, "en", "h", 9), (2, text, "en", "h", 9), (None, text + " x", "en", None, 9),
+            (3, None, None, "h", None), (4, "", "en", "h", 0), (5, "short", "en", "h", 5),
+            (6, " ".join(f"other{i} mail{i}@mail1.example.com" for i in range(60)), "fr", "g", None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for name, data in (("some", rows), ("none", [])):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(data, schema).withColumn("rate", F.lit(1)).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(1, "no such item text at all")], "item_id bigint, text string") \
+            .write.parquet(f"{folder}/benchmark.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        kept = corpus_pipeline.run(spark, folder).collect()
+        assert {r.doc_id for r in kept} <= {1, 2, None, 6}
+        assert len({r.doc_id for r in kept}) == (2 if data else 0) and (not data or 6 in {r.doc_id for r in kept})
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, folder)
+            assert docs.columns == [*schema.replace(" bigint", "").replace(" string", "").split(", "), "rate"]
