@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -42,6 +43,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_recorded: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that are written inside the block."""
+    paths: list[str] = []
+    _recorded.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorded.remove(paths)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``write`` that nothing will read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write(df: DataFrame, name: str, texts: tuple[str, ...] = (), codec: str = "snappy",
           partition_by: tuple[str, ...] = ()) -> Written:
     """Write once to the shared folder and read back, which also cuts the lineage.
@@ -50,6 +71,8 @@ def write(df: DataFrame, name: str, texts: tuple[str, ...] = (), codec: str = "s
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _recorded:
+        paths.append(path)
     size = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(0))
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows"),

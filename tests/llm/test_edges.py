@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
 import json
+import os
 from math import comb, isqrt
 
 import numpy as np
@@ -413,6 +414,21 @@ def test_pipeline_end_to_end_on_odd_rows(spark, tmp_path):
         kept = corpus_pipeline.run(spark, folder).collect()
         assert {r.doc_id for r in kept} <= {1, 2, None, 6}
         assert len({r.doc_id for r in kept}) == (2 if data else 0) and (not data or 6 in {r.doc_id for r in kept})
-        for _, stage in corpus_pipeline.STAGES[:-1]:
+        for _, stage in corpus_pipeline.STAGES[:-1]:     # without writing in between
             docs = stage(spark, docs, folder)
+            docs.count()
             assert docs.columns == [*schema.replace(" bigint", "").replace(" string", "").split(", "), "rate"]
+
+
+def test_stages_remove_what_the_one_before_left(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    left = []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        kept.write.parquet(f"{tmp_path}/{i}")
+        assert not [p for p in left if os.path.exists(p)]
+        left = corpus_pipeline._left[spark.sparkContext.applicationId]
+        assert left and all(os.path.exists(p) for p in left)
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
