@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -38,6 +38,7 @@ BLANKS = re.compile(r"[ \t\n\r\f]+")
 UNSEEN = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))"
                     r"\s*(?:!important\s*)?(?:;|$)")
 GAP = "  "
+MOST_COLUMNS = 1000     # that a cell may span: fixed by HTML
 
 
 class Node:
@@ -113,6 +114,14 @@ class TreeBuilder(HTMLParser):
                     "table", "tr", "tbody", "thead", "tfoot", "body"):
                 return
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Character data in drawings and formulas; elsewhere such a section is a comment."""
+        end = self.rawdata.find("]]>", i)
+        if self.rawdata.startswith("<![CDATA[", i) and end >= 0 and self._foreign():
+            self.handle_data(self.rawdata[i + 9:end])
+            return end + 3
+        return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "head" and data.strip():
             self._end({"head"}, set())
@@ -160,9 +169,34 @@ class Layout:
         return self.lines
 
 
-def render(top: Node) -> list[str]:
-    """Lines of all visible text below ``top``. Works without recursion in the depth of plain
-    nesting; only tables and lists start a layout of their own."""
+NUMBER = re.compile(r"[ \t\n\f\r]*([+-]?[0-9]+)")
+
+
+def number_in(value: str | None, default: int) -> int:
+    """The whole number that an attribute begins with; one of many digits counts as none."""
+    found = NUMBER.match(value or "")
+    return int(found[1]) if found and len(found[1]) < 10 else default
+
+
+def lines_of(top: Node) -> list[str]:
+    """Lines of all visible text below ``top``.
+
+    Tables, lists and their parts are generators that ask for the lines of what they contain by
+    yielding its generator. They wait on a stack here, so that no nesting is too deep.
+    """
+    waiting, lines = [render(top)], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(lines))
+            lines = None
+        except StopIteration as done:
+            waiting.pop()
+            lines = done.value
+    return lines
+
+
+def render(top: Node) -> Generator:
+    """Lines of all visible text below ``top``; tables and lists start a layout of their own."""
     out = Layout()
     todo: list[tuple] = [("open", c, False) for c in reversed(top.children)]
     while todo:
@@ -184,7 +218,7 @@ def render(top: Node) -> list[str]:
             if node.attrs.get("alt"):
                 out.text(node.attrs["alt"], False)
         elif node.tag in ("table", "ul", "ol", "menu"):
-            lines = table_lines(node) if node.tag == "table" else list_lines(node)
+            lines = yield table_lines(node) if node.tag == "table" else list_lines(node)
             out.feed()
             nested = top.tag == "li"
             out.gap = (out.gap or node.tag == "table" or not nested) and bool(out.lines)
@@ -206,10 +240,8 @@ def render(top: Node) -> list[str]:
     return out.result()
 
 
-def list_lines(node: Node) -> list[str]:
-    lines, number = [], 1
-    if node.tag == "ol" and (node.attrs.get("start") or "").lstrip("-").isdigit():
-        number = int(node.attrs["start"])
+def list_lines(node: Node) -> Generator:
+    lines, number = [], number_in(node.attrs.get("start"), 1)
     for child in node.children:
         if isinstance(child, str):
             if child.strip():
@@ -218,19 +250,18 @@ def list_lines(node: Node) -> list[str]:
             if child.tag != "li":
                 box = Node("div", {})
                 box.children = [child]
-                lines += render(box)
+                lines += yield render(box)
                 continue
-            value = child.attrs.get("value") or ""
-            number = int(value) if value.isdigit() and node.tag == "ol" else number
+            number = number_in(child.attrs.get("value"), number)
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            for i, line in enumerate(render(child) or [""]):
+            for i, line in enumerate((yield render(child)) or [""]):
                 lines.append(((mark if i == 0 else " " * len(mark)) + line).rstrip())
     return lines
 
 
-def table_lines(node: Node) -> list[str]:
-    """Rows with cells aligned in columns; a cell may span columns and hold several lines."""
+def table_lines(node: Node) -> Generator:
+    """Rows with cells aligned in columns; a cell may span columns and rows and hold several lines."""
     captions, rows, todo = [], [], list(reversed(node.children))
     while todo:
         child = todo.pop()
@@ -246,24 +277,29 @@ def table_lines(node: Node) -> list[str]:
         else:
             box = Node("div", {})
             box.children = [child]
-            captions += render(box)
-    grid, widths = [], []
+            captions += yield render(box)
+    grid, widths, taken = [], [], {}
     for cells in rows:
-        line, at = [], 0
+        line, at, below = [], 0, {c: n - 1 for c, n in taken.items() if n > 1}
         for cell in cells:
             box = cell
             if cell.tag not in ("td", "th"):
                 box = Node("td", {})
                 box.children = [cell]
-            span = cell.attrs.get("colspan") or "1"
-            span = min(max(int(span), 1), 100) if span.isdigit() else 1
-            text = render(box)
+            while at in taken:      # by a cell of a row above
+                at += 1
+            span = min(max(number_in(cell.attrs.get("colspan"), 1), 1), MOST_COLUMNS)
+            down = number_in(cell.attrs.get("rowspan"), 1)
+            down = min(down if down > 0 else len(rows), len(rows) - len(grid))
+            text = yield render(box)
             line.append((at, span, text))
+            below.update({c: down - 1 for c in range(at, at + span) if down > 1})
             if span == 1:
                 widths += [0] * (at + 1 - len(widths))
                 widths[at] = max([widths[at], *map(len, text)])
             at += span
         grid.append(line)
+        taken = below
     for line in grid:  # a spanning cell widens the last of its columns
         for at, span, text in line:
             widths += [0] * (at + span - len(widths))
@@ -272,8 +308,10 @@ def table_lines(node: Node) -> list[str]:
     lines = list(captions)
     for line in grid:
         for k in range(max((len(t) for _, _, t in line), default=0)):
-            shown = ""
+            shown, upto = "", 0
             for at, span, text in line:
+                shown += "".join(" " * w + GAP for w in widths[upto:at])
+                upto = at + span
                 width = sum(widths[at:at + span]) + len(GAP) * (span - 1)
                 shown += (text[k] if k < len(text) else "").ljust(width) + GAP
             lines.append(shown.rstrip())
@@ -287,7 +325,7 @@ def page_text(html: str | None) -> str:
     builder = TreeBuilder()
     builder.feed(html)
     builder.close()
-    return re.sub(r"\n{3,}", "\n\n", "\n".join(render(builder.root))).strip("\n")
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines_of(builder.root))).strip("\n")
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -298,8 +336,9 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """(key, text) per row.
 
-    A null or empty page has an empty text; broken markup is repaired and never fails;
-    repeated rows and null keys are rows like all others. Rows never meet.
+    A null or empty page has an empty text; broken markup is repaired and never fails, however
+    deep it is nested; pages of any length are laid out whole. Repeated rows and null keys are rows
+    like all others, and rows never meet. An empty table gives an empty result.
     """
     kind = pages.schema[key].dataType.simpleString()
     return pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInPandas(
