@@ -36,7 +36,9 @@ END = r"(?![A-Za-z0-9])"
 ANY = START + "(?:" + "|".join(FORMS.values()) + ")" + END
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-FIRST_DAY, DAYS = "1900-01-01", (4297, 17)  # the product is all days up to 2099-12-31
+FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
+FIRST_YEAR, YEARS, FIRST_LEAP = 1900, 200, 1904     # 49 leap years up to 2096
+MONTHS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 
 
 def _number(key: str, tweak: str, turn: int, value: Column) -> Column:
@@ -208,18 +210,63 @@ def _day(value: Column) -> Column:
         .otherwise(F.try_to_date(text, "yyyy-MM-dd"))
 
 
+def _days_before(months: int, first: int, last: int) -> list[int]:
+    """How many days of a common year lie before each month, counting days first to last only."""
+    before = [0]
+    for size in MONTHS[:months]:
+        before.append(before[-1] + max(0, min(last, size) - first + 1))
+    return before
+
+
 def _date(value: Column, key: str) -> Column:
-    """Written as before: by year-month-day, day.month.year, or month/day/year (day/month/year
-    where only that is a date), with two digits for day and month."""
-    n = F.datediff(_day(value), F.lit(FIRST_DAY).cast("date"))
-    pair = feistel(F.floor(n / DAYS[1]), n % DAYS[1], *DAYS, key, "date")
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), bind(
-        pair, lambda p: p["l"] * DAYS[1] + p["r"]).cast("int"))
-    day_first = F.split(value, "/")[0].try_cast("int") > 12
-    form = lambda f: bind(new, lambda d: F.date_format(d, f))
-    return F.when(value.contains("-"), form("yyyy-MM-dd")).when(
-        value.contains("."), form("dd.MM.yyyy")).when(
-        day_first, form("dd/MM/yyyy")).otherwise(form("MM/dd/yyyy"))
+    """Another date in the same writing: order, signs between and digits of day and month stay.
+
+    The dates of one writing are a domain of their own: months and days of one digit or two, and
+    with slashes those that only read as day/month/year apart from those that read as
+    month/day/year. A domain is permuted as years times days of a common year, and its 29ths of
+    February among themselves, so two values never get one pseudonym.
+    """
+    part = lambda i: F.get(F.split(value, "[./-]"), F.lit(i))
+    iso, dotted = value.contains("-"), value.contains(".")
+    late = value.contains("/") & (part(0).try_cast("int") > 12)
+    first = F.when(iso, F.lit("y")).when(dotted | late, F.lit("d")).otherwise(F.lit("m"))
+    fields = F.struct(F.when(iso, part(0)).otherwise(part(2)).alias("y"), F.when(iso, part(1)).when(
+        first == "d", part(1)).otherwise(part(0)).alias("m"), F.when(iso, part(2)).when(
+        first == "d", part(0)).otherwise(part(1)).alias("d"))
+    wide = F.char_length
+
+    def choose(f: Column, make) -> Column:
+        """``make(months, first day, last day)`` of the domain that the value is in."""
+        out = F
+        for months, one_month in ((9, True), (12, False)):
+            for low, high, holds in ((13, 31, late), (1, 9, wide(f["d"]) == 1), (1, 31, F.lit(True))):
+                out = out.when(((wide(f["m"]) == 1) == F.lit(one_month)) & holds, make(months, low, high))
+        return out
+
+    def new(f: Column) -> Column:
+        year, month, day = (f[c].cast("int") for c in ("y", "m", "d"))
+        table = choose(f, lambda m, lo, hi: F.array(*map(F.lit, _days_before(m, lo, hi))))
+        low = F.when(late, F.lit(13)).otherwise(F.lit(1))
+        sized = bind(table, lambda t: F.struct(t.alias("t"), F.element_at(t, -1).alias("n"),
+                                               (F.get(t, month - 1) + day - low).alias("i")))
+        common = bind(sized, lambda s: bind(
+            feistel(year - FIRST_YEAR, s["i"], YEARS, s["n"].cast("bigint"), key, "date"),
+            lambda p: bind(F.size(F.filter(s["t"], lambda x: x <= p["r"])), lambda m: F.struct(
+                (p["l"] + FIRST_YEAR).alias("y"), m.alias("m"),
+                (p["r"] - F.get(s["t"], m - 1) + low).alias("d")))))
+        leap = bind((year - FIRST_LEAP) / 4, lambda i: bind(
+            feistel(F.floor(i / 7), F.pmod(i.cast("bigint"), F.lit(7)), 7, 7, key, "leap"), lambda p: F.struct(
+                (p["l"] * 28 + p["r"] * 4 + FIRST_LEAP).alias("y"), F.lit(2).alias("m"),
+                F.lit(29).cast("bigint").alias("d"))))
+        found = F.when((month == 2) & (day == 29), leap).otherwise(common)
+        return bind(found, lambda n: bind(F.struct(
+            n["y"].cast("string").alias("y"), _padded(n["m"], wide(f["m"])).alias("m"),
+            _padded(n["d"], wide(f["d"])).alias("d")), lambda w: F.when(iso, F.concat_ws(
+                "-", w["y"], w["m"], w["d"])).when(dotted, F.concat_ws(".", w["d"], w["m"], w["y"])).when(
+                late, F.concat_ws("/", w["d"], w["m"], w["y"])).otherwise(
+                F.concat_ws("/", w["m"], w["d"], w["y"]))))
+
+    return bind(fields, new)
 
 
 MAKERS = {"email": _email, "date": _date, "ssn": _ssn, "phone": _phone, "foreign": _foreign,
@@ -230,8 +277,7 @@ def kind_of(value: Column) -> Column:
     """The kind of a matched value, null if it is not valid."""
     size = F.char_length(_digits(value))
     valid = {
-        "date": F.datediff(_day(value), F.lit(FIRST_DAY).cast("date")).between(
-            0, DAYS[0] * DAYS[1] - 1),
+        "date": _day(value).between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")),
         "foreign": size.between(8, 15),
         "card": size.between(13, 19) & (F.pmod(luhn_sum(_digits(value)), F.lit(10)) == 0),
         "iban": iban_rest(value) == 1}
