@@ -144,6 +144,7 @@ def judge(df: DataFrame, text: str = "text", host: str = "source",
                        "host", "bad").select(
         F.col("host").alias(name), F.col("rate").alias(rate),
         (F.col("rate") - 2 * F.col("deviation") > REJECT_RATE).alias(rejected))
+    found = write(found, "quality-hosts", (name,)).copied()    # texts stay where they are
     joined = rows.join(found, F.col(f"{rules}.host") == F.col(name))
     kept = ~F.col(f"{rules}.base_failed") & ~F.col(rejected) & ~(
         F.col(f"{rules}.soft_failed") & (F.col(rate) > STRICT_RATE))
