@@ -1,12 +1,14 @@
 """Scores by a class-based bigram model whose classes come from exchange clustering.
 
-The most frequent words are put into classes so that class bigrams tell most; in every
-round the words are looked at in parallel, each for the class that raises the likelihood
-most. Less frequent words share one class. A text is scored by class transitions and by the
-probability of each word in its class.
-
-All words of all training texts are counted. The counts of a bounded number of frequent
-words go to the tasks; all other words of a text meet their counts in a shuffle join.
+Every word of the training texts gets a class. The most frequent words, the core, are exchanged
+first: in every round they are looked at in parallel, each for the class that raises the
+likelihood of the class bigrams most. Then every other word is taken out of the open class, where
+all of them lie at first, into the class that raises it most, by the classes on both sides of all
+its places. A text is scored by class transitions and by the probability of each word in its class.
+
+All words of all training texts are counted and kept in a table with their classes. The words of a
+bounded near part go to the tasks; all others meet their class in a shuffle join, and come back to
+the places of their texts, so that transitions between two of them are exact too.
 """
 
 from __future__ import annotations
@@ -17,19 +19,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.llm.common import write
 
-CLUSTERED = 1000        # most frequent words that are clustered
-CLASSES = 32            # classes that they are put into
-NEAR_WORDS = 50_000     # most frequent words whose counts every task holds
+CORE = 1000             # most frequent words, exchanged among themselves before all others
+CLASSES = 32            # classes of all words
+NEAR_WORDS = 50_000     # most frequent words whose counts and classes every task holds
 LONGEST_NEAR = 64       # bytes of such a word at most
 ROUNDS = 8
 FLUSH = 300_000
+PLACED = 2_000          # words that are placed together
 
-RARE, END = CLUSTERED, CLUSTERED + 1    # ids of all other words and of the end of a text
+RARE, END = CORE, CORE + 1                      # ids of all other words and of the end of a text
+OPEN, STOP, STATES = CLASSES, CLASSES + 1, CLASSES + 2  # class of unseen words, of the end; all
+FAR = 255                                       # a place whose class is joined later
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -55,7 +61,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _pairs(ids: dict[bytes, int]):
-    size = CLUSTERED + 2
+    size = CORE + 2
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size * size, np.int64)
@@ -129,10 +135,10 @@ def _class_table(pairs: DataFrame, of: np.ndarray) -> np.ndarray:
 def clusters(pairs: DataFrame, words: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Class of every id and the table of class bigrams.
 
-    ``pairs`` (a, b, n) has at most (CLUSTERED + 2) squared rows. Half of the words move in
+    ``pairs`` (a, b, n) has at most (CORE + 2) squared rows. Half of the words move in
     each round, so that neighbours do not change places for ever.
     """
-    of = np.arange(CLUSTERED + 2) % CLASSES
+    of = np.arange(CORE + 2) % CLASSES
     of[RARE], of[END] = CLASSES, CLASSES + 1
     ends = F.collect_list(F.struct(F.col("other").alias("id"), "n"))
     after = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), "n") \
@@ -149,114 +155,252 @@ def clusters(pairs: DataFrame, words: int, rounds: int = ROUNDS) -> tuple[np.nda
             _exchange(of, table), "word bigint, to bigint, gain double").where("gain > 0").collect()
         if not moves and turn:
             break
-        for m in moves:  # at most CLUSTERED rows
+        for m in moves:  # at most CORE rows
             of[m.word] = m.to
         table = _class_table(pairs, of)
     return of, table
 
 
+def _contexts(core: dict[bytes, int], of: np.ndarray):
+    """Rows of (word, pair of the classes on both sides, places) of all words beyond the core."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: Counter[tuple[bytes, int]] = Counter()
+
+        def counted() -> pd.DataFrame:
+            return pd.DataFrame({
+                "word": pd.Series([w for w, _ in total], dtype=object),
+                "context": pd.Series([c for _, c in total], dtype="int32"),
+                "n": pd.Series(list(total.values()), dtype="int64")})
+
+        for batch in batches:
+            for text in batch["text"]:
+                words = words_of(text)
+                line = np.fromiter((core.get(w, RARE) for w in words), np.int64, len(words))
+                path = np.concatenate([[STOP], of[line], [STOP]])
+                at = np.flatnonzero(line == RARE)
+                total.update(zip([words[i] for i in at.tolist()],
+                                 (path[at] * STATES + path[at + 2]).tolist()))
+                if len(total) > FLUSH:
+                    yield counted()
+                    total.clear()
+        yield counted()
+    return count
+
+
+def best_classes(table: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The class of each word that raises the likelihood of ``table`` most, the least of equals.
+
+    ``left`` and ``right`` (words x states) count what stands before and after each word.
+    """
+    row, col, cross = (x[:CLASSES] for x in (table.sum(1), table.sum(0), np.diag(table)))
+
+    def added(cells: np.ndarray, by: np.ndarray) -> np.ndarray:
+        word, state = np.nonzero(by)
+        base, n = cells[state], by[word, state][:, None]
+        return np.add.reduceat(_gain(base + n) - _gain(base),
+                               np.searchsorted(word, np.arange(len(by))))
+
+    n = right.sum(1)[:, None]
+    gain = added(table[:, :CLASSES], left) + added(table[:CLASSES].T, right) \
+        - (_gain(row + n) - _gain(row)) - (_gain(col + n) - _gain(col))
+    x, y = left[:, :CLASSES], right[:, :CLASSES]     # a class beside its own word: one cell
+    both = np.flatnonzero(((x > 0) & (y > 0)).any(1))
+    x, y = x[both], y[both]
+    gain[both] += _gain(cross + x + y) - _gain(cross + x) - _gain(cross + y) + _gain(cross)
+    return gain.argmax(1)
+
+
+def _place(table: np.ndarray):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, PLACED):
+                part = batch.slice(start, PLACED)
+                places, rows = part.column("places"), part.num_rows
+                flat = places.flatten()
+                context, n = flat.field("context").to_numpy(), flat.field("n").to_numpy()
+                word = np.repeat(np.arange(rows), places.value_lengths().to_numpy()) * STATES
+                sides = [np.bincount(word + side, n, rows * STATES).reshape(rows, STATES)
+                         for side in (context // STATES, context % STATES)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("word"), pa.array(sides[1].sum(1).astype(np.int64)),
+                     pa.array(best_classes(table, *sides).astype(np.int32))], ["word", "n", "c"])
+    return place
+
+
 @dataclass(frozen=True)
-class Model:
-    """Counts and classes; ``counts`` holds every word of the training texts."""
+class Words:
+    """Counts and classes of all training words: the ``near`` ones, core first, as a list, and
+    all words beyond the core as a table (word, n, c)."""
 
-    counts: DataFrame
-    near: list[tuple[bytes, int]]
-    of: np.ndarray
-    table: np.ndarray
+    near: list[tuple[bytes, int, int]]
+    others: DataFrame
     tokens: int
     texts: int
     distinct: int
 
-    def emission(self) -> tuple[np.ndarray, float]:
-        """Tokens of each class, and what stands under the line for words of the rare class:
-        their tokens, one more for each of its words, and one for all unseen words."""
-        sizes = self.table.sum(axis=0)
-        learned = min(len(self.near), CLUSTERED) + (self.texts > 0)
-        return sizes, sizes[CLASSES] + (self.distinct - learned) + 1
 
-    def transitions(self) -> np.ndarray:
-        return np.log10((self.table + 1) / (self.table.sum(axis=1, keepdims=True)
-                                            + self.table.shape[0]))
-
-
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    """Counts over all training rows, classes, and class bigrams."""
-    rows = docs.where(~held_out(key)).select(F.col(text).cast("binary").alias("text"))
+def classes_of(rows: DataFrame) -> Words:
+    """Counts over all ``rows`` (text binary), and a class for every word."""
     counts = write(rows.mapInPandas(_count, "word binary, n bigint").groupBy("word").agg(
         F.sum("n").alias("n")), "lm-words").df
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                        F.count(F.lit(1)).alias("v")).first()
     texts = rows.count()
-    near = [(bytes(r.word), r.n) for r in counts.where(F.octet_length("word") <= LONGEST_NEAR)
-            .orderBy(F.desc("n"), "word").limit(NEAR_WORDS).collect()]
-    ids = {w: i for i, (w, _) in enumerate(near[:CLUSTERED])}
+
+    def top(table: DataFrame, limit: int) -> list:
+        return table.where(F.octet_length("word") <= LONGEST_NEAR).orderBy(
+            F.desc("n"), "word").limit(limit).collect()
+
+    core = [(bytes(r.word), r.n) for r in top(counts, CORE)]
+    ids = {w: i for i, (w, _) in enumerate(core)}
     pairs = write(rows.mapInPandas(_pairs(ids), "a bigint, b bigint, n bigint")
                   .groupBy("a", "b").agg(F.sum("n").alias("n")), "lm-pairs").df
     of, table = clusters(pairs, len(ids))
-    return Model(counts, near, of, table, total.n + texts, texts, total.v + (texts > 0))
-
-
-def _score(model: Model):
-    texts = model.texts
-    words = {w: i for i, (w, _) in enumerate(model.near)}
-    count = np.array([n for _, n in model.near] + [0], float)
-    under = model.tokens + model.distinct + 1
-    sizes, rare_under = model.emission()
-    base = np.log10((count + 1) / under)
-    clustered = np.arange(len(count)) < min(len(model.near), CLUSTERED)
-    cls = np.where(clustered, np.append(model.of, np.full(len(count), CLASSES))[:len(count)],
-                   CLASSES)
-    emit = np.where(clustered, np.log10(np.maximum(count, 1) / np.maximum(sizes[cls], 1)),
-                    np.log10((count + 1) / rare_under))
-    base[-1] = emit[-1] = 0.0  # words that are joined later
-    step, end_class = model.transitions(), CLASSES + 1
-    end_base = np.log10((texts + 1) / under)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = rows.mapInPandas(_contexts(ids, of), "word binary, context int, n bigint") \
+        .repartition(parts, "word").groupBy("word", "context").agg(F.sum("n").alias("n")) \
+        .groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("places"))
+    others = write(places.mapInArrow(_place(table), "word binary, n bigint, c int"), "lm-classes").df
+    near = [(w, n, int(of[i])) for i, (w, n) in enumerate(core)] + [
+        (bytes(r.word), r.n, r.c) for r in top(others, NEAR_WORDS - CORE)]
+    return Words(near, others, total.n + texts, texts, total.v + (texts > 0))
+
+
+def _walk(known: Words):
+    """Per text the classes of its places, sums over its near words, and its far words."""
+    index = {w: i for i, (w, _, _) in enumerate(known.near)}
+    count = np.array([n for _, n, _ in known.near] + [0], float)
+    cls = np.array([c for _, _, c in known.near] + [FAR], np.uint8)
+    base = np.log10((count + 1) / (known.tokens + known.distinct + 1))
+    logs = np.log10(np.maximum(count, 1))
+    base[-1] = 0.0      # words that are joined later
+    end = np.log10((known.texts + 1) / (known.tokens + known.distinct + 1))
+    seen = int(known.texts > 0)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch.pop("text"):
-                line = words_of(text)
-                ids = [words.get(w, -1) for w in line]
-                at = np.array(ids, np.int64)
-                path = np.concatenate([[end_class], cls[at], [end_class]]) if line else \
-                    np.array([end_class, end_class])
-                far = Counter(w for w, i in zip(line, ids) if i < 0)
-                out.append((len(line) + 1, int((at >= 0).sum()) + (texts > 0),
-                            float(base[at].sum() + end_base),
-                            float(emit[at].sum() + step[path[:-1], path[1:]].sum()),
-                            [{"word": w, "k": k} for w, k in far.items()]))
-            yield pd.concat([batch.reset_index(drop=True), pd.DataFrame(
-                out, columns=["n_tokens", "n_known", "base", "model", "far"])], axis=1)
-    return score
+            texts, start = batch.column("text"), 0
+            sums, paths, sizes, places, far = [], [], [0], [], []
+
+            def done(until: int) -> pa.RecordBatch:
+                part = batch.slice(start, until - start)
+                n, near, b, m = zip(*sums)
+                words = pa.StructArray.from_arrays(
+                    [pa.array(np.concatenate(places).astype(np.int32)), pa.array(far, pa.binary())],
+                    ["at", "word"])
+                return pa.RecordBatch.from_arrays(
+                    [part.column(c) for c in ("doc_id", "held_out", "uid")]
+                    + [pa.array(n, pa.int64()), pa.array(near, pa.int64()), pa.array(b), pa.array(m),
+                       pa.array(paths, pa.binary()),
+                       pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), words)],
+                    ["doc_id", "held_out", "uid", "n_tokens", "n_known", "base", "logs", "path",
+                     "far"])
+
+            for i in range(batch.num_rows):
+                words = words_of(texts[i].as_py())
+                ids = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
+                at = np.flatnonzero(ids < 0)
+                sums.append((len(words) + 1, len(words) - len(at) + seen,
+                             float(base[ids].sum() + end), float(logs[ids].sum())))
+                paths.append(cls[ids].tobytes())
+                sizes.append(len(at))
+                places.append(at)
+                far += [words[j] for j in at.tolist()]
+                if len(far) > FLUSH or i + 1 == batch.num_rows:
+                    yield done(i + 1)
+                    start = i + 1
+                    sums, paths, sizes, places, far = [], [], [0], [], []
+    return walk
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its class bigrams and how often each occurs."""
+    keep = ["doc_id", "held_out", "n_tokens", "n_known", "base", "logs"]
+    for batch in batches:
+        cells, times, sizes = [], [], [0]
+        path_of, late = batch.column("path"), batch.column("late")
+        flat = late.flatten()
+        at, cls = flat.field("at").to_numpy(), flat.field("c").to_numpy()
+        ends = np.cumsum(late.value_lengths().fill_null(0).to_numpy())
+        first = 0
+        for i in range(batch.num_rows):
+            path = np.frombuffer(path_of[i].as_py(), np.uint8)
+            line = np.full(len(path) + 2, STOP, np.int64)
+            line[1:-1] = path
+            line[at[first:ends[i]] + 1] = cls[first:ends[i]]
+            first = ends[i]
+            cell, n = np.unique(line[:-1] * STATES + line[1:], return_counts=True)
+            cells.append(cell)
+            times.append(n)
+            sizes.append(len(cell))
+        bigrams = pa.StructArray.from_arrays(
+            [pa.array(np.concatenate(x).astype(np.int32)) for x in (cells, times)],
+            ["cell", "n"]) if cells else pa.array([], pa.struct({"cell": pa.int32(), "n": pa.int32()}))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c) for c in keep]
+            + [pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), bigrams)],
+            [*keep, "bigrams"])
+
+
+def paths(docs: DataFrame, known: Words, key: str, text: str) -> DataFrame:
+    """Per row its counts, sums of logarithms and class bigrams; written, so read at no cost."""
+    kind = docs.schema[key].dataType.simpleString()
+    rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"),
+                       F.monotonically_increasing_id().alias("uid"),
+                       F.col(text).cast("binary").alias("text"))
+    sums = "n_tokens bigint, n_known bigint, base double, logs double"
+    near = write(rows.mapInArrow(
+        _walk(known), f"doc_id {kind}, held_out boolean, uid bigint, {sums}, path binary, "
+        "far array<struct<at int, word binary>>"), "lm-near").df
+    far = near.select("uid", F.explode("far").alias("f")).select("uid", "f.at", "f.word")
+    n, zero = F.coalesce("n", F.lit(0)), F.lit(0)
+    under = float(known.tokens + known.distinct + 1)
+    late = far.join(known.others, "word", "left").groupBy("uid").agg(
+        F.count("n").alias("known"),
+        F.sum(F.log10((n + 1) / F.lit(under))).alias("b"),
+        F.sum(F.log10(F.greatest(n, F.lit(1)))).alias("m"),
+        F.collect_list(F.struct("at", F.coalesce("c", F.lit(OPEN)).alias("c"))).alias("late"))
+    whole = near.drop("far").join(late, "uid", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),
+        (F.col("base") + F.coalesce("b", zero)).alias("base"),
+        (F.col("logs") + F.coalesce("m", zero)).alias("logs"), "path", "late")
+    return write(whole.mapInArrow(
+        _cells, f"doc_id {kind}, held_out boolean, {sums}, "
+        "bigrams array<struct<cell int, n int>>"), "lm-paths").df
+
+
+def transitions(table: np.ndarray) -> np.ndarray:
+    """log10 of the smoothed probability of each class after each class."""
+    return np.log10((table + 1) / (table.sum(axis=1, keepdims=True) + STATES))
+
+
+def bigram_table(rows: DataFrame) -> np.ndarray:
+    """Class bigrams of the training rows among those of ``paths``."""
+    table = np.zeros(STATES * STATES)
+    for r in rows.where(~F.col("held_out")).select(F.explode("bigrams").alias("g")).groupBy(
+            "g.cell").agg(F.sum("g.n").alias("n")).collect():    # at most STATES * STATES rows
+        table[r.cell] = r.n
+    return table.reshape(STATES, STATES)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) per row.
 
-    A null text is empty: one end token. A null key is never held out. Repeated rows are
-    trained on and scored as often as they occur. Without training rows every word is new.
+    A known word has the probability of its class after the class before it, times its share in
+    its class; all unseen words are one word in a class of its own, so the probabilities after
+    any class add up to 1. A null text is empty: one end token. A null key is never held out.
+    Repeated rows are trained on and scored as often as they occur. Without training rows every
+    word is new. A very long text is one row in one task, its far words are joined apart.
     """
-    model = train(docs, key, text)
-    kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"),
-                       F.monotonically_increasing_id().alias("uid"),
-                       F.col(text).cast("binary").alias("text"))
-    near = write(rows.mapInPandas(
-        _score(model), f"doc_id {kind}, held_out boolean, uid bigint, n_tokens bigint, "
-        "n_known bigint, base double, model double, far array<struct<word binary, k bigint>>"),
-        "lm-near").df
-    under, rare_under = model.tokens + model.distinct + 1, float(model.emission()[1])
-    far = near.select("uid", F.explode("far").alias("f")).select("uid", "f.word", "f.k")
-    n = F.coalesce("n", F.lit(0))
-    late = far.join(model.counts, "word", "left").groupBy("uid").agg(
-        F.sum(F.when(n > 0, F.col("k"))).alias("known"),
-        F.sum(F.col("k") * F.log10((n + 1) / F.lit(float(under)))).alias("b"),
-        F.sum(F.col("k") * F.log10((n + 1) / F.lit(rare_under))).alias("m"))
-    zero = F.lit(0)
-    return near.drop("far").join(late, "uid", "left").select(
-        F.col("doc_id").alias(key), "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),
-        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("b", zero)).alias("base_score"),
-        (F.col("model") + F.coalesce("m", zero)).alias("score"))
+    known = classes_of(docs.where(~held_out(key)).select(F.col(text).cast("binary").alias("text")))
+    rows = paths(docs, known, key, text)
+    table = bigram_table(rows)
+    share = np.log10(np.maximum(table.sum(axis=0), 1))
+    share[[OPEN, STOP]] = 0.0
+    weight = F.lit((transitions(table) - share).ravel().tolist())
+    model = F.aggregate("bigrams", F.lit(0.0),
+                        lambda s, g: s + F.get(weight, g["cell"]) * g["n"])
+    return rows.select(
+        F.col("doc_id").alias(key), "held_out", "n_tokens", "n_known",
+        F.lit(known.tokens).cast("bigint").alias("train_tokens"),
+        F.col("base").alias("base_score"), (F.col("logs") + model).alias("score"))

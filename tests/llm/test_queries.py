@@ -91,38 +91,69 @@ def test_base_and_class_scores(spark, docs):
     n, v = sum(count.values()), len(count)
     got = result(spark, "op4_class_lm").set_index("doc_id")
     table = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    model = lm.train(table)
-    assert (model.tokens, model.distinct) == (n, v)
-    step = model.transitions()
-    assert np.allclose((10 ** step).sum(axis=1), 1)
-    near = {w.decode(): i for i, (w, _) in enumerate(model.near[:lm.CLUSTERED])}
-    sizes, rare = model.emission()
-    assert np.isclose(sizes.sum(), n)
+    known = lm.classes_of(table.where(~lm.held_out("doc_id")).select(
+        F.col("text").cast("binary").alias("text")))
+    assert (known.tokens, known.distinct) == (n, v)
+    of = {w.decode(): c for w, _, c in known.near}
+    rest = {bytes(r.word).decode(): (r.n, r.c) for r in known.others.collect()}
+    assert all(count[w] == k for w, (k, _) in rest.items())
+    of.update({w: c for w, (_, c) in rest.items()})
+    assert set(of) == set(count) - {None}           # a class for every training word
+    of[None] = lm.STOP
+    bigrams = np.zeros((lm.STATES, lm.STATES))
+    for text, use in zip(docs.text, train):
+        line = [None, *words(text), None]
+        for x, y in zip(line, line[1:]) if use else ():
+            bigrams[of[x], of[y]] += 1
+    assert bigrams[:lm.CLASSES, lm.OPEN].sum() == 0
+    step, sizes = np.log10((bigrams + 1) / (bigrams.sum(1, keepdims=True) + lm.STATES)), bigrams.sum(0)
     for doc, text, use in zip(docs.doc_id, docs.text, train):
         row, line = got.loc[doc], [*words(text), None]
         assert row.held_out == (not use) and row.n_tokens == len(line)
         assert row.n_known == sum(count[w] > 0 for w in line) and row.train_tokens == n
         assert np.isclose(row.base_score, sum(np.log10((count[w] + 1) / (n + v + 1))
                                               for w in line))
-        if doc % 4:
-            continue
-        total, last = 0.0, lm.CLASSES + 1
+        total, last = 0.0, lm.STOP
         for w in line:
-            now = lm.CLASSES + 1 if w is None else model.of[near.get(w, lm.RARE)]
-            total += step[last, now]
-            if w is not None:
-                total += np.log10(count[w] / sizes[now] if w in near else (count[w] + 1) / rare)
+            now = of.get(w, lm.OPEN)
+            total += step[last, now] + (np.log10(count[w] / sizes[now]) if now < lm.OPEN else 0)
             last = now
-        assert abs(total - row.score) < 0.02 * abs(total)  # classes may differ between runs
+        assert np.isclose(row.score, total, rtol=1e-9)
+    held = got[got.held_out]
+    assert held.score.sum() > held.base_score.sum()     # texts that were not learned from
+
+
+def test_best_class_equals_moving_the_word():
+    rng = np.random.default_rng(3)
+    table = rng.integers(0, 50, (lm.STATES, lm.STATES)).astype(float)
+    words = rng.integers(1, 4, 40)
+    left, right = (np.zeros((40, lm.STATES)) for _ in "lr")
+    for i, n in enumerate(words):
+        for side in (left, right):
+            np.add.at(side[i], rng.integers(0, lm.STATES, n * 5), 1)
+    for i in range(40):
+        whole = table.copy()        # the word lies in the open class
+        whole[lm.OPEN] += right[i]
+        whole[:, lm.OPEN] += left[i]
+        scores = []
+        for c in range(lm.CLASSES):
+            moved = table.copy()
+            moved[c] += right[i]
+            moved[:, c] += left[i]
+            scores.append(lm._likelihood(moved))
+        got = lm.best_classes(whole, left[i:i + 1], right[i:i + 1])[0]
+        assert np.isclose(scores[got], max(scores), rtol=0, atol=1e-6)
 
 
 def test_clustering_raises_the_likelihood(spark):
     rows = spark.createDataFrame([(i, "a b c d " * 6 if i % 2 else "a x c y " * 6)
                                   for i in range(60)], "doc_id bigint, text string")
-    model = lm.train(rows)
-    size = lm.CLASSES + 2
-    flat = np.add.outer(np.zeros(size), model.table.sum(0)) * model.table.sum(1)[:, None]
-    assert lm._likelihood(model.table) > lm._likelihood(flat / model.table.sum())
+    known = lm.classes_of(rows.select(F.col("text").cast("binary").alias("text")))
+    table = lm.bigram_table(lm.paths(rows, known, "doc_id", "text").withColumn(
+        "held_out", F.lit(False)))
+    assert table.sum() == 60 * 25
+    flat = np.add.outer(np.zeros(lm.STATES), table.sum(0)) * table.sum(1)[:, None]
+    assert lm._likelihood(table) > lm._likelihood(flat / table.sum())
 
 
 def test_packing(spark, docs):
