@@ -190,18 +190,21 @@ def _contexts(core: dict[bytes, int], of: np.ndarray):
 def best_classes(table: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The class of each word that raises the likelihood of ``table`` most, the least of equals.
 
-    ``left`` and ``right`` (words x states) count what stands before and after each word.
+    ``left`` and ``right`` (words x states) count what stands before and after each word, which
+    itself lies in the open class; a word beside itself counts as beside another open word.
     """
     row, col, cross = (x[:CLASSES] for x in (table.sum(1), table.sum(0), np.diag(table)))
 
-    def added(cells: np.ndarray, by: np.ndarray) -> np.ndarray:
+    def added(cells: np.ndarray, by: np.ndarray, own: np.ndarray) -> np.ndarray:
         word, state = np.nonzero(by)
         base, n = cells[state], by[word, state][:, None]
+        in_open = state == OPEN     # cells of the open class lose what the word leaves
+        base[in_open] -= own[word[in_open], :CLASSES]
         return np.add.reduceat(_gain(base + n) - _gain(base),
                                np.searchsorted(word, np.arange(len(by))))
 
     n = right.sum(1)[:, None]
-    gain = added(table[:, :CLASSES], left) + added(table[:CLASSES].T, right) \
+    gain = added(table[:, :CLASSES], left, right) + added(table[:CLASSES].T, right, left) \
         - (_gain(row + n) - _gain(row)) - (_gain(col + n) - _gain(col))
     x, y = left[:, :CLASSES], right[:, :CLASSES]     # a class beside its own word: one cell
     both = np.flatnonzero(((x > 0) & (y > 0)).any(1))
