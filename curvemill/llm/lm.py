@@ -6,9 +6,10 @@ likelihood of the class bigrams most. Then every other word is taken out of the
 all of them lie at first, into the class that raises it most, by the classes on both sides of all
 its places. A text is scored by class transitions and by the probability of each word in its class.
 
-All words of all training texts are counted and kept in a table with their classes. The words of a
-bounded near part go to the tasks; all others meet their class in a shuffle join, and come back to
-the places of their texts, so that transitions between two of them are exact too.
+All words of all training texts are counted and kept in a table with their classes. Texts are read
+into words twice: for the counts, and into paths, the numbers of their words of a bounded near part,
+from which arrays all else is taken. All other words meet their class in a shuffle join and come
+back to the places of their texts, so that transitions between two of them are exact too.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from curvemill.llm.common import write
 
 CORE = 1000             # most frequent words, exchanged among themselves before all others
 CLASSES = 32            # classes of all words
-NEAR_WORDS = 50_000     # most frequent words whose counts and classes every task holds
+NEAR_WORDS = 50_000     # most frequent words that every task holds, below EDGE
 LONGEST_NEAR = 64       # bytes of such a word at most
 ROUNDS = 8
 FLUSH = 300_000
@@ -35,7 +36,7 @@ PLACED = 2_000          # words that are placed together
 
 RARE, END = CORE, CORE + 1                      # ids of all other words and of the end of a text
 OPEN, STOP, STATES = CLASSES, CLASSES + 1, CLASSES + 2  # class of unseen words, of the end; all
-FAR = 255                                       # a place whose class is joined later
+EDGE, FAR = 2**16 - 2, 2**16 - 1                # in paths: the end, and words that are not near
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -60,20 +61,32 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         "n": pd.Series(list(total.values()), dtype="int64")})
 
 
-def _pairs(ids: dict[bytes, int]):
-    size = CORE + 2
+def _flat(batch: pa.RecordBatch) -> np.ndarray:
+    """The paths of a batch in one line, with an end before, between and after them."""
+    edge = np.uint16(EDGE).tobytes()
+    return np.frombuffer(b"".join([edge, edge.join(batch.column("path").to_pylist()), edge]),
+                         np.uint16)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _states(of: np.ndarray, other: int, end: int) -> np.ndarray:
+    """What each number of a path stands for: ``of`` it, else ``other`` or the end."""
+    states = np.full(2**16, other, np.int64)
+    states[:len(of)] = of
+    states[EDGE] = end
+    return states
+
+
+def _pairs(core: int):
+    size, ids = CORE + 2, _states(np.arange(core), RARE, END)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
-            line = [END]
-            for text in batch["text"]:
-                line += [ids.get(w, RARE) for w in words_of(text)]
-                line.append(END)
-            flat = np.array(line, np.int64)
+            flat = ids[_flat(batch)]
             total += np.bincount(flat[:-1] * size + flat[1:], minlength=size * size)
         seen = np.flatnonzero(total)
-        yield pd.DataFrame({"a": seen // size, "b": seen % size, "n": total[seen]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (seen // size, seen % size, total[seen])], ["a", "b", "n"])
     return count
 
 
@@ -161,32 +174,38 @@ def clusters(pairs: DataFrame, words: int, rounds: int = ROUNDS) -> tuple[np.nda
     return of, table
 
 
-def _contexts(core: dict[bytes, int], of: np.ndarray):
-    """Rows of (word, pair of the classes on both sides, places) of all words beyond the core."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter[tuple[bytes, int]] = Counter()
-
-        def counted() -> pd.DataFrame:
-            return pd.DataFrame({
-                "word": pd.Series([w for w, _ in total], dtype=object),
-                "context": pd.Series([c for _, c in total], dtype="int32"),
-                "n": pd.Series(list(total.values()), dtype="int64")})
+def _near_contexts(core: int, of: np.ndarray):
+    """Rows of (near word beyond the core, pair of the classes on both sides, places)."""
+    states, pairs = _states(of, OPEN, STOP), STATES * STATES
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch["text"]:
-                words = words_of(text)
-                line = np.fromiter((core.get(w, RARE) for w in words), np.int64, len(words))
-                path = np.concatenate([[STOP], of[line], [STOP]])
-                at = np.flatnonzero(line == RARE)
-                total.update(zip([words[i] for i in at.tolist()],
-                                 (path[at] * STATES + path[at + 2]).tolist()))
-                if len(total) > FLUSH:
-                    yield counted()
-                    total.clear()
-        yield counted()
+            flat = _flat(batch)
+            path, at = states[flat], np.flatnonzero((flat >= core) & (flat < EDGE))
+            seen, n = np.unique(flat[at] * np.int64(pairs) + path[at - 1] * STATES + path[at + 1],
+                                return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (seen // pairs, (seen % pairs).astype(np.int32), n)],
+                ["word", "context", "n"])
     return count
 
 
+def _far_contexts(of: np.ndarray):
+    """Rows of (word that is not near, pair of the classes on both sides), one per place."""
+    states = _states(of, OPEN, STOP)
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            path, far = states[_flat(batch)], batch.column("far")
+            ends = np.flatnonzero(_flat(batch) == EDGE)[:-1]
+            words = far.flatten()
+            at = words.field("at").to_numpy() + 1 + np.repeat(ends, far.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [words.field("word"), pa.array((path[at - 1] * STATES + path[at + 1]).astype(np.int32))],
+                ["word", "context"])
+    return contexts
+
+
 def best_classes(table: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The class of each word that raises the likelihood of ``table`` most, the least of equals.
 
@@ -232,80 +251,54 @@ def _place(table: np.ndarray):
 
 @dataclass(frozen=True)
 class Words:
-    """Counts and classes of all training words: the ``near`` ones, core first, as a list, and
-    all words beyond the core as a table (word, n, c)."""
+    """Counts and classes of all training words: the ``near`` ones, most frequent first, as a list
+    with their classes ``of``, and all ``others`` as a table (word, n, c)."""
 
-    near: list[tuple[bytes, int, int]]
+    near: list[tuple[bytes, int]]
+    of: np.ndarray
     others: DataFrame
     tokens: int
     texts: int
     distinct: int
 
 
-def classes_of(rows: DataFrame) -> Words:
-    """Counts over all ``rows`` (text binary), and a class for every word."""
-    counts = write(rows.mapInPandas(_count, "word binary, n bigint").groupBy("word").agg(
-        F.sum("n").alias("n")), "lm-words").df
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                       F.count(F.lit(1)).alias("v")).first()
-    texts = rows.count()
-
-    def top(table: DataFrame, limit: int) -> list:
-        return table.where(F.octet_length("word") <= LONGEST_NEAR).orderBy(
-            F.desc("n"), "word").limit(limit).collect()
-
-    core = [(bytes(r.word), r.n) for r in top(counts, CORE)]
-    ids = {w: i for i, (w, _) in enumerate(core)}
-    pairs = write(rows.mapInPandas(_pairs(ids), "a bigint, b bigint, n bigint")
-                  .groupBy("a", "b").agg(F.sum("n").alias("n")), "lm-pairs").df
-    of, table = clusters(pairs, len(ids))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    places = rows.mapInPandas(_contexts(ids, of), "word binary, context int, n bigint") \
-        .repartition(parts, "word").groupBy("word", "context").agg(F.sum("n").alias("n")) \
-        .groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("places"))
-    others = write(places.mapInArrow(_place(table), "word binary, n bigint, c int"), "lm-classes").df
-    near = [(w, n, int(of[i])) for i, (w, n) in enumerate(core)] + [
-        (bytes(r.word), r.n, r.c) for r in top(others, NEAR_WORDS - CORE)]
-    return Words(near, others, total.n + texts, texts, total.v + (texts > 0))
-
-
-def _walk(known: Words):
-    """Per text the classes of its places, sums over its near words, and its far words."""
-    index = {w: i for i, (w, _, _) in enumerate(known.near)}
-    count = np.array([n for _, n, _ in known.near] + [0], float)
-    cls = np.array([c for _, _, c in known.near] + [FAR], np.uint8)
-    base = np.log10((count + 1) / (known.tokens + known.distinct + 1))
+def _walk(near: list[tuple[bytes, int]], tokens: int, texts: int, distinct: int):
+    """Per text its path, sums over its near words, and its far words."""
+    index = {w: i for i, (w, _) in enumerate(near)}
+    numbers = np.append(np.arange(len(near)), FAR).astype(np.uint16)
+    count = np.array([n for _, n in near] + [0], float)
+    base = np.log10((count + 1) / (tokens + distinct + 1))
     logs = np.log10(np.maximum(count, 1))
     base[-1] = 0.0      # words that are joined later
-    end = np.log10((known.texts + 1) / (known.tokens + known.distinct + 1))
-    seen = int(known.texts > 0)
+    end = np.log10((texts + 1) / (tokens + distinct + 1))
+    seen = int(texts > 0)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, start = batch.column("text"), 0
+            column, start = batch.column("text"), 0
             sums, paths, sizes, places, far = [], [], [0], [], []
 
             def done(until: int) -> pa.RecordBatch:
                 part = batch.slice(start, until - start)
-                n, near, b, m = zip(*sums)
+                n, known, b, m = zip(*sums)
                 words = pa.StructArray.from_arrays(
                     [pa.array(np.concatenate(places).astype(np.int32)), pa.array(far, pa.binary())],
                     ["at", "word"])
                 return pa.RecordBatch.from_arrays(
                     [part.column(c) for c in ("doc_id", "held_out", "uid")]
-                    + [pa.array(n, pa.int64()), pa.array(near, pa.int64()), pa.array(b), pa.array(m),
+                    + [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(b), pa.array(m),
                        pa.array(paths, pa.binary()),
                        pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), words)],
                     ["doc_id", "held_out", "uid", "n_tokens", "n_known", "base", "logs", "path",
                      "far"])
 
             for i in range(batch.num_rows):
-                words = words_of(texts[i].as_py())
+                words = words_of(column[i].as_py())
                 ids = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
                 at = np.flatnonzero(ids < 0)
                 sums.append((len(words) + 1, len(words) - len(at) + seen,
                              float(base[ids].sum() + end), float(logs[ids].sum())))
-                paths.append(cls[ids].tobytes())
+                paths.append(numbers[ids].tobytes())
                 sizes.append(len(at))
                 places.append(at)
                 far += [words[j] for j in at.tolist()]
@@ -316,46 +309,84 @@ def _walk(known: Words):
     return walk
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text its class bigrams and how often each occurs."""
-    keep = ["doc_id", "held_out", "n_tokens", "n_known", "base", "logs"]
-    for batch in batches:
-        cells, times, sizes = [], [], [0]
-        path_of, late = batch.column("path"), batch.column("late")
-        flat = late.flatten()
-        at, cls = flat.field("at").to_numpy(), flat.field("c").to_numpy()
-        ends = np.cumsum(late.value_lengths().fill_null(0).to_numpy())
-        first = 0
-        for i in range(batch.num_rows):
-            path = np.frombuffer(path_of[i].as_py(), np.uint8)
-            line = np.full(len(path) + 2, STOP, np.int64)
-            line[1:-1] = path
-            line[at[first:ends[i]] + 1] = cls[first:ends[i]]
-            first = ends[i]
-            cell, n = np.unique(line[:-1] * STATES + line[1:], return_counts=True)
-            cells.append(cell)
-            times.append(n)
-            sizes.append(len(cell))
-        bigrams = pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(x).astype(np.int32)) for x in (cells, times)],
-            ["cell", "n"]) if cells else pa.array([], pa.struct({"cell": pa.int32(), "n": pa.int32()}))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in keep]
-            + [pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), bigrams)],
-            [*keep, "bigrams"])
+SUMS = "n_tokens bigint, n_known bigint, base double, logs double"
 
 
-def paths(docs: DataFrame, known: Words, key: str, text: str) -> DataFrame:
-    """Per row its counts, sums of logarithms and class bigrams; written, so read at no cost."""
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Words, DataFrame]:
+    """A class for every word of the training rows, and the paths of all rows, written."""
+    rows = docs.where(~held_out(key)).select(F.col(text).cast("binary").alias("text"))
+    counts = write(rows.mapInPandas(_count, "word binary, n bigint").groupBy("word").agg(
+        F.sum("n").alias("n")), "lm-words").df
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                       F.count(F.lit(1)).alias("v")).first()
+    texts = rows.count()
+    tokens, distinct = total.n + texts, total.v + (texts > 0)
+    near = [(bytes(r.word), r.n) for r in counts.where(F.octet_length("word") <= LONGEST_NEAR)
+            .orderBy(F.desc("n"), "word").limit(NEAR_WORDS).collect()]
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("doc_id"), held_out(key).alias("held_out"),
-                       F.monotonically_increasing_id().alias("uid"),
-                       F.col(text).cast("binary").alias("text"))
-    sums = "n_tokens bigint, n_known bigint, base double, logs double"
-    near = write(rows.mapInArrow(
-        _walk(known), f"doc_id {kind}, held_out boolean, uid bigint, {sums}, path binary, "
-        "far array<struct<at int, word binary>>"), "lm-near").df
-    far = near.select("uid", F.explode("far").alias("f")).select("uid", "f.at", "f.word")
+    paths = write(docs.select(
+        F.col(key).alias("doc_id"), held_out(key).alias("held_out"),
+        F.monotonically_increasing_id().alias("uid"), F.col(text).cast("binary").alias("text"))
+        .mapInArrow(_walk(near, tokens, texts, distinct),
+                    f"doc_id {kind}, held_out boolean, uid bigint, {SUMS}, path binary, "
+                    "far array<struct<at int, word binary>>"), "lm-near").df
+    learned = paths.where(~F.col("held_out"))
+    core = min(CORE, len(near))
+    pairs = write(learned.select("path").mapInArrow(_pairs(core), "a bigint, b bigint, n bigint")
+                  .groupBy("a", "b").agg(F.sum("n").alias("n")), "lm-pairs").df
+    first, table = clusters(pairs, core)
+    of = np.full(len(near), OPEN)
+    of[:core] = first[:core]
+
+    def placed(contexts: DataFrame, n) -> DataFrame:
+        places = contexts.groupBy("word", "context").agg(n.alias("n")).groupBy("word").agg(
+            F.collect_list(F.struct("context", "n")).alias("places"))   # at most STATES * STATES
+        word = contexts.schema["word"].dataType.simpleString()
+        return places.mapInArrow(_place(table), f"word {word}, n bigint, c int")
+
+    moved = placed(learned.select("path").mapInArrow(
+        _near_contexts(core, of), "word bigint, context int, n bigint"), F.sum("n")).collect()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    others = write(placed(learned.select("path", "far").mapInArrow(
+        _far_contexts(of), "word binary, context int").repartition(parts, "word"),
+        F.count(F.lit(1))), "lm-classes").df
+    for r in moved:     # at most NEAR_WORDS rows
+        of[r.word] = r.c
+    return Words(near, of, others, tokens, texts, distinct), paths
+
+
+def _cells(of: np.ndarray):
+    """Per text its class bigrams and how often each occurs."""
+    keep, states = ["doc_id", "held_out", "n_tokens", "n_known", "base", "logs"], _states(of, OPEN, STOP)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells, times, sizes = [], [], [0]
+            flat, late = _flat(batch), batch.column("late")
+            ends, lengths = np.flatnonzero(flat == EDGE), late.value_lengths().fill_null(0).to_numpy()
+            line, words = states[flat], late.flatten()
+            line[words.field("at").to_numpy() + 1 + np.repeat(ends[:-1], lengths)] = \
+                words.field("c").to_numpy()
+            pair = line[:-1] * STATES + line[1:]
+            for i in range(batch.num_rows):
+                cell, n = np.unique(pair[ends[i]:ends[i + 1]], return_counts=True)
+                cells.append(cell)
+                times.append(n)
+                sizes.append(len(cell))
+            none = [np.zeros(0)]
+            bigrams = pa.StructArray.from_arrays(
+                [pa.array(np.concatenate(x or none).astype(np.int32)) for x in (cells, times)],
+                ["cell", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in keep]
+                + [pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), bigrams)],
+                [*keep, "bigrams"])
+    return count
+
+
+def bigrams(known: Words, paths: DataFrame) -> DataFrame:
+    """Per row of ``paths`` its counts, sums of logarithms and class bigrams, written."""
+    far = paths.select("uid", F.explode("far").alias("f")).select("uid", "f.at", "f.word")
     n, zero = F.coalesce("n", F.lit(0)), F.lit(0)
     under = float(known.tokens + known.distinct + 1)
     late = far.join(known.others, "word", "left").groupBy("uid").agg(
@@ -363,13 +394,13 @@ def paths(docs: DataFrame, known: Words, key: str, text: str) -> DataFrame:
         F.sum(F.log10((n + 1) / F.lit(under))).alias("b"),
         F.sum(F.log10(F.greatest(n, F.lit(1)))).alias("m"),
         F.collect_list(F.struct("at", F.coalesce("c", F.lit(OPEN)).alias("c"))).alias("late"))
-    whole = near.drop("far").join(late, "uid", "left").select(
+    whole = paths.drop("far").join(late, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),
         (F.col("base") + F.coalesce("b", zero)).alias("base"),
         (F.col("logs") + F.coalesce("m", zero)).alias("logs"), "path", "late")
     return write(whole.mapInArrow(
-        _cells, f"doc_id {kind}, held_out boolean, {sums}, "
-        "bigrams array<struct<cell int, n int>>"), "lm-paths").df
+        _cells(known.of), f"doc_id {paths.schema['doc_id'].dataType.simpleString()}, "
+        f"held_out boolean, {SUMS}, bigrams array<struct<cell int, n int>>"), "lm-bigrams").df
 
 
 def transitions(table: np.ndarray) -> np.ndarray:
@@ -378,7 +409,7 @@ def transitions(table: np.ndarray) -> np.ndarray:
 
 
 def bigram_table(rows: DataFrame) -> np.ndarray:
-    """Class bigrams of the training rows among those of ``paths``."""
+    """Class bigrams of the training rows among those of ``bigrams``."""
     table = np.zeros(STATES * STATES)
     for r in rows.where(~F.col("held_out")).select(F.explode("bigrams").alias("g")).groupBy(
             "g.cell").agg(F.sum("g.n").alias("n")).collect():    # at most STATES * STATES rows
@@ -395,8 +426,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Repeated rows are trained on and scored as often as they occur. Without training rows every
     word is new. A very long text is one row in one task, its far words are joined apart.
     """
-    known = classes_of(docs.where(~held_out(key)).select(F.col(text).cast("binary").alias("text")))
-    rows = paths(docs, known, key, text)
+    known, paths = train(docs, key, text)
+    rows = bigrams(known, paths)
     table = bigram_table(rows)
     share = np.log10(np.maximum(table.sum(axis=0), 1))
     share[[OPEN, STOP]] = 0.0

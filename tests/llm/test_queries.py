@@ -80,7 +80,7 @@ def test_pseudonyms_keep_format_and_links(spark, docs):
     assert not left & {m for t in docs.text for m in mails.findall(t)}
 
 
-def test_base_and_class_scores(spark, docs):
+def test_base_and_class_scores(spark, docs, monkeypatch):
     words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub(
         "[A-Z]", lambda m: m[0].lower(), t))
     train = [zlib.crc32(str(d).encode()) % 7 != 2 for d in docs.doc_id]
@@ -89,12 +89,13 @@ def test_base_and_class_scores(spark, docs):
         if use:
             count.update([*words(text), None])
     n, v = sum(count.values()), len(count)
+    monkeypatch.setattr(lm, "NEAR_WORDS", 3000)     # far words beside each other
     got = result(spark, "op4_class_lm").set_index("doc_id")
     table = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    known = lm.classes_of(table.where(~lm.held_out("doc_id")).select(
-        F.col("text").cast("binary").alias("text")))
+    known, _ = lm.train(table)
     assert (known.tokens, known.distinct) == (n, v)
-    of = {w.decode(): c for w, _, c in known.near}
+    assert all(count[w.decode()] == k for w, k in known.near)
+    of = {w.decode(): c for (w, _), c in zip(known.near, known.of)}
     rest = {bytes(r.word).decode(): (r.n, r.c) for r in known.others.collect()}
     assert all(count[w] == k for w, (k, _) in rest.items())
     of.update({w: c for w, (_, c) in rest.items()})
@@ -148,9 +149,7 @@ def test_best_class_equals_moving_the_word():
 def test_clustering_raises_the_likelihood(spark):
     rows = spark.createDataFrame([(i, "a b c d " * 6 if i % 2 else "a x c y " * 6)
                                   for i in range(60)], "doc_id bigint, text string")
-    known = lm.classes_of(rows.select(F.col("text").cast("binary").alias("text")))
-    table = lm.bigram_table(lm.paths(rows, known, "doc_id", "text").withColumn(
-        "held_out", F.lit(False)))
+    table = lm.bigram_table(lm.bigrams(*lm.train(rows)).withColumn("held_out", F.lit(False)))
     assert table.sum() == 60 * 25
     flat = np.add.outer(np.zeros(lm.STATES), table.sum(0)) * table.sum(1)[:, None]
     assert lm._likelihood(table) > lm._likelihood(flat / table.sum())
