@@ -364,9 +364,8 @@ def _cells(of: np.ndarray):
             cells, times, sizes = [], [], [0]
             flat, late = _flat(batch), batch.column("late")
             ends, lengths = np.flatnonzero(flat == EDGE), late.value_lengths().fill_null(0).to_numpy()
-            line, words = states[flat], late.flatten()
-            line[words.field("at").to_numpy() + 1 + np.repeat(ends[:-1], lengths)] = \
-                words.field("c").to_numpy()
+            line, words = states[flat], late.flatten().to_numpy()   # place * 256 + class
+            line[words // 256 + 1 + np.repeat(ends[:-1], lengths)] = words % 256
             pair = line[:-1] * STATES + line[1:]
             for i in range(batch.num_rows):
                 cell, n = np.unique(pair[ends[i]:ends[i + 1]], return_counts=True)
@@ -393,7 +392,7 @@ def bigrams(known: Words, paths: DataFrame) -> DataFrame:
         F.count("n").alias("known"),
         F.sum(F.log10((n + 1) / F.lit(under))).alias("b"),
         F.sum(F.log10(F.greatest(n, F.lit(1)))).alias("m"),
-        F.collect_list(F.struct("at", F.coalesce("c", F.lit(OPEN)).alias("c"))).alias("late"))
+        F.collect_list(F.col("at").cast("bigint") * 256 + F.coalesce("c", F.lit(OPEN))).alias("late"))
     whole = paths.drop("far").join(late, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),
         (F.col("base") + F.coalesce("b", zero)).alias("base"),
