@@ -1,9 +1,12 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-Texts are cut into overlapping blocks of words. The tokens of the templates are ordered by
-their frequency in all blocks, the rarest first. A template that is contained in a block to
-the threshold shares a token of its prefix with it, so only blocks with such a token are
-compared; the length and position filters stop most comparisons early.
+A template is met by a run of as many words as it has itself that contains its tokens to the
+threshold, and among them those that tell it from templates so like it that their texts would meet
+it too. Texts are cut into overlapping blocks of words that hold all such runs. The tokens of the
+templates are ordered by their frequency in all blocks, the rarest first. A template that is
+contained in a block to the threshold shares a token of its prefix with it, so only blocks with such
+a token are compared; the length and position filters stop most comparisons early. Runs are looked
+for in the blocks that are left.
 """
 
 from __future__ import annotations
@@ -69,23 +72,45 @@ class Templates:
             self.needed[label] = tokens, need
             for place, token in enumerate(tokens[:len(tokens) - need + 1]):
                 self.index.setdefault(token, []).append((label, place))
+        self.length = {label: len(words) for label, words in texts.items()}
+        self.marks = {label: {t for other, _ in self.needed.values()
+                              if need <= len(set(tokens).intersection(other)) < len(tokens)
+                              for t in set(tokens).difference(other)}
+                      for label, (tokens, need) in self.needed.items()}
 
-    def blocks(self, words: list[bytes]) -> Iterator[tuple[int, list[int]]]:
-        """(block, sorted template tokens); any ``span`` words lie inside one block.
+    def blocks(self, words: list[bytes]) -> Iterator[list[tuple[int, int]]]:
+        """(word, template token) of each block; any ``span`` words lie inside one block.
 
         Only template tokens are kept: no other token can be in an overlap.
         """
         rank, step = self.rank, self.span
-        places = [(i, rank[w]) for i, w in enumerate(words) if w in rank]
-        cells: dict[int, set[int]] = {}
-        for i, token in places:
-            cells.setdefault(i // step, set()).add(token)
+        cells: dict[int, list[tuple[int, int]]] = {}
+        for i, w in enumerate(words):
+            if w in rank:
+                cells.setdefault(i // step, []).append((i, rank[w]))
         for cell in sorted(cells.keys() | {c - 1 for c in cells if c}):
-            yield cell, sorted(cells.get(cell, set()) | cells.get(cell + 1, set()))
-
-    def matches(self, block: list[int]) -> dict[str, float]:
-        """Containment of each template that the block contains to the threshold."""
-        seen, found = set(), {}
+            yield cells.get(cell, []) + cells.get(cell + 1, [])
+
+    def run(self, label: str, block: list[tuple[int, int]]) -> tuple[int, float] | None:
+        """(first word, containment) of the best run of the template's own length."""
+        (tokens, need), wanted, best = self.needed[label], set(self.needed[label][0]), None
+        held: Counter[int] = Counter()
+        inside = [(i, t) for i, t in block if t in wanted]
+        low, most = 0, need - 1
+        for i, token in inside:
+            held[token] += 1
+            while i - inside[low][0] >= self.length[label]:
+                held[inside[low][1]] -= 1
+                if not held[inside[low][1]]:
+                    del held[inside[low][1]]
+                low += 1
+            if len(held) > most and self.marks[label] <= held.keys():
+                best, most = (inside[low][0], len(held) / len(tokens)), len(held)
+        return best
+
+    def matches(self, block: list[int]) -> list[str]:
+        """The templates that the block contains to the threshold."""
+        seen, found = set(), []
         for place, token in enumerate(block):
             for label, at in self.index.get(token, ()):
                 if label in seen:
@@ -96,9 +121,8 @@ class Templates:
                 if len(block) < need or 1 + min(
                         len(tokens) - at - 1, len(block) - place - 1) < need:
                     continue
-                shared = len(set(tokens).intersection(block))
-                if shared >= need:
-                    found[label] = shared / len(tokens)
+                if len(set(tokens).intersection(block)) >= need:
+                    found.append(label)
         return found
 
 
@@ -107,8 +131,8 @@ def _count(templates: Templates):
         total: Counter[bytes] = Counter()
         for batch in batches:
             for text in batch["text"]:
-                for _, tokens in templates.blocks(words_of(text)):
-                    total.update(tokens)
+                for block in templates.blocks(words_of(text)):
+                    total.update({t for _, t in block})
         yield pd.DataFrame({"token": list(total), "n": list(total.values())},
                            ).astype({"token": "int64", "n": "int64"})
     return count
@@ -139,11 +163,13 @@ def _scan(templates: Templates):
             for text in batch["text"]:
                 words = words_of(text)
                 places = phrase_places(words)
-                blocks = []
-                for block, tokens in templates.blocks(words):
-                    blocks += [{"label": label, "first_word": block * templates.span,
-                                "containment": share}
-                               for label, share in templates.matches(tokens).items()]
+                runs = {}       # neighbouring blocks may hold the same one
+                for block in templates.blocks(words):
+                    for label in templates.matches(sorted({t for _, t in block})):
+                        if run := templates.run(label, block):
+                            runs[label, run[0]] = run[1]
+                blocks = [{"label": label, "first_word": i, "containment": share}
+                          for (label, i), share in runs.items()]
                 rows.append((len(words), [{"label": x, "word": i} for i, x in sorted(places)],
                              blocks))
             yield pd.concat([batch[["doc_id"]].reset_index(drop=True), pd.DataFrame(
@@ -157,11 +183,12 @@ FOUND = ("n_words bigint, phrases array<struct<label string, word bigint>>, "
 
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text",
          templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, n_words, phrases, blocks) per row: phrase places and blocks that meet a template.
+    """(key, n_words, phrases, blocks) per row: phrase places and runs that meet a template.
 
     A first pass counts the template tokens over the blocks of all rows, which gives the
     global order; these counts are as many as the templates have words. The second pass
-    joins. A null text has no words; repeated rows are scanned like all others.
+    joins; ``blocks`` are the runs that meet a template. A null text has no words; repeated rows and
+    very long texts are scanned like all others, and an empty table gives no rows.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"))

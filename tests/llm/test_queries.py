@@ -189,9 +189,9 @@ def test_sharding(spark, docs):
 
 def test_license_scan(spark, docs):
     got = result(spark, "op7_license_scan").set_index("doc_id")
-    index = licenses.Templates(licenses.TEMPLATES, licenses.THRESHOLD)
-    templates = {label: set(licenses.words_of(t.encode()))
+    templates = {label: [x.decode() for x in licenses.words_of(t.encode())]
                  for label, t in licenses.TEMPLATES.items()}
+    marks = {"cc-by-nc-4.0": {"nc"}, "cc-by-sa-4.0": {"sa"}}
     named = 0
     for doc, text in zip(docs.doc_id, docs.text):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(
@@ -204,16 +204,30 @@ def test_license_scan(spark, docs):
             assert (row.first_word, row.last_word) == (min(places)[0], max(places)[0])
         base = {label for _, label in places}
         assert row.base_labels == ",".join(sorted(base))
-        step, coded = index.span, [x.encode() for x in w]
-        for at in range(0, max(len(w), 1), step):
-            block = set(coded[at:at + 2 * step])
-            base |= {label for label, t in templates.items()
-                     if len(t & block) >= np.ceil(licenses.THRESHOLD * len(t) - 1e-9)}
+        for label, t in templates.items():
+            need = np.ceil(licenses.THRESHOLD * len(set(t)) - 1e-9)
+            runs = (set(w[at:at + len(t)]) & set(t) for at in range(len(w)))
+            base |= {label for run in runs if len(run) >= need and marks.get(label, set()) <= run}
         assert row.labels == ",".join(sorted(base))
         named += bool(base)
     assert named > 0
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under CC BY 4.0", set()),
+    ("Licensed under CC BY-SA 4.0", {"cc-by-sa-4.0"}),
+    ("see: licensed under the CC BY-NC 4.0.", {"cc-by-nc-4.0"}),
+    ("apache helicopters carry version two of a drug licensed under rule 2 by the 0 board", set()),
+    ("Licensed under the Apache License (Version 2.0)", {"apache-2.0"}),
+    ("x " * 997 + "Licensed under the Apache License, Version 2.0", {"apache-2.0"}),
+    ("", set())])
+def test_license_runs(text, labels):
+    index = licenses.Templates(licenses.TEMPLATES, licenses.THRESHOLD)
+    found = {label for block in index.blocks(licenses.words_of(text.encode()))
+             for label in index.matches(sorted({t for _, t in block})) if index.run(label, block)}
+    assert found == labels
+
+
 def test_pipeline_keeps_and_drops(spark, docs):
     import corpus_pipeline
 
