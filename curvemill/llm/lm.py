@@ -37,6 +37,7 @@ PLACED = 2_000          # words that are placed together
 RARE, END = CORE, CORE + 1                      # ids of all other words and of the end of a text
 OPEN, STOP, STATES = CLASSES, CLASSES + 1, CLASSES + 2  # class of unseen words, of the end; all
 EDGE, FAR = 2**16 - 2, 2**16 - 1                # in paths: the end, and words that are not near
+MANY = 2**24 - 1        # places from which on a far word's count is not sent along with its places
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -316,7 +317,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Wor
     """A class for every word of the training rows, and the paths of all rows, written."""
     rows = docs.where(~held_out(key)).select(F.col(text).cast("binary").alias("text"))
     counts = write(rows.mapInPandas(_count, "word binary, n bigint").groupBy("word").agg(
-        F.sum("n").alias("n")), "lm-words").df
+        F.sum("n").alias("n")), "lm-words", codec="zstd").df
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                        F.count(F.lit(1)).alias("v")).first()
     texts = rows.count()
@@ -329,7 +330,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Wor
         F.monotonically_increasing_id().alias("uid"), F.col(text).cast("binary").alias("text"))
         .mapInArrow(_walk(near, tokens, texts, distinct),
                     f"doc_id {kind}, held_out boolean, uid bigint, {SUMS}, path binary, "
-                    "far array<struct<at int, word binary>>"), "lm-near").df
+                    "far array<struct<at int, word binary>>"), "lm-near", codec="zstd").df
     learned = paths.where(~F.col("held_out"))
     core = min(CORE, len(near))
     pairs = write(learned.select("path").mapInArrow(_pairs(core), "a bigint, b bigint, n bigint")
@@ -349,23 +350,45 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Wor
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     others = write(placed(learned.select("path", "far").mapInArrow(
         _far_contexts(of), "word binary, context int").repartition(parts, "word"),
-        F.count(F.lit(1))), "lm-classes").df
+        F.count(F.lit(1))), "lm-classes", codec="zstd").df
     for r in moved:     # at most NEAR_WORDS rows
         of[r.word] = r.c
     return Words(near, of, others, tokens, texts, distinct), paths
 
 
-def _cells(of: np.ndarray):
-    """Per text its class bigrams and how often each occurs."""
-    keep, states = ["doc_id", "held_out", "n_tokens", "n_known", "base", "logs"], _states(of, OPEN, STOP)
+def _classes_on(of: np.ndarray, keep: list[str]):
+    """Paths with a byte per word, its class; far words are in the open class."""
+    states = _states(of, OPEN, STOP).astype(np.uint8)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = [states[np.frombuffer(p, np.uint16)].tobytes()
+                     for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in keep] + [pa.array(paths, pa.binary())], [*keep, "path"])
+    return name
+
+
+def _cells(under: float, many: int):
+    """Per text its sums with those of its far words, its class bigrams and how often each occurs."""
+    keep = ["doc_id", "held_out", "n_tokens"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edge = bytes([STOP])
         for batch in batches:
             cells, times, sizes = [], [], [0]
-            flat, late = _flat(batch), batch.column("late")
-            ends, lengths = np.flatnonzero(flat == EDGE), late.value_lengths().fill_null(0).to_numpy()
-            line, words = states[flat], late.flatten().to_numpy()   # place * 256 + class
-            line[words // 256 + 1 + np.repeat(ends[:-1], lengths)] = words % 256
+            line = np.frombuffer(b"".join(
+                [edge, edge.join(batch.column("path").to_pylist()), edge]), np.uint8).astype(np.int64)
+            ends, late = np.flatnonzero(line == STOP), batch.column("late")
+            lengths, words = late.value_lengths().fill_null(0).to_numpy(), late.flatten().to_numpy()
+            text, n = np.repeat(np.arange(batch.num_rows), lengths), words >> 8 & 2**24 - 1
+            line[(words >> 32) + 1 + ends[text]] = words & 255
+            here = n < many     # the others are summed before
+            sums = [batch.column(c).to_numpy() + np.bincount(text, x, batch.num_rows) for c, x in (
+                ("base", np.where(here, np.log10((n + 1) / under), 0.0)),
+                ("logs", np.where(here, np.log10(np.maximum(n, 1)), 0.0)))]
+            known = batch.column("n_known").to_numpy() + np.bincount(
+                text, n > 0, batch.num_rows).astype(np.int64)
             pair = line[:-1] * STATES + line[1:]
             for i in range(batch.num_rows):
                 cell, n = np.unique(pair[ends[i]:ends[i + 1]], return_counts=True)
@@ -377,29 +400,36 @@ def _cells(of: np.ndarray):
                 [pa.array(np.concatenate(x or none).astype(np.int32)) for x in (cells, times)],
                 ["cell", "n"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in keep]
+                [batch.column(c) for c in keep] + [pa.array(x) for x in (known, *sums)]
                 + [pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), bigrams)],
-                [*keep, "bigrams"])
+                [*keep, "n_known", "base", "logs", "bigrams"])
     return count
 
 
 def bigrams(known: Words, paths: DataFrame) -> DataFrame:
-    """Per row of ``paths`` its counts, sums of logarithms and class bigrams, written."""
+    """Per row of ``paths`` its counts, sums of logarithms and class bigrams, written.
+
+    A far word's place comes back as one number of its place, its count and its class.
+    """
     far = paths.select("uid", F.explode("far").alias("f")).select("uid", "f.at", "f.word")
-    n, zero = F.coalesce("n", F.lit(0)), F.lit(0)
-    under = float(known.tokens + known.distinct + 1)
+    n, zero = F.coalesce("n", F.lit(0)), F.lit(0.0)
+    under, many = float(known.tokens + known.distinct + 1), F.col("n") >= MANY
+    packed = F.shiftleft(F.col("at").cast("bigint"), 32) + F.least(n, F.lit(MANY)) * 256 \
+        + F.coalesce("c", F.lit(OPEN))
     late = far.join(known.others, "word", "left").groupBy("uid").agg(
-        F.count("n").alias("known"),
-        F.sum(F.log10((n + 1) / F.lit(under))).alias("b"),
-        F.sum(F.log10(F.greatest(n, F.lit(1)))).alias("m"),
-        F.collect_list(F.col("at").cast("bigint") * 256 + F.coalesce("c", F.lit(OPEN))).alias("late"))
-    whole = paths.drop("far").join(late, "uid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", zero)).alias("n_known"),
-        (F.col("base") + F.coalesce("b", zero)).alias("base"),
+        F.sum(F.when(many, F.log10((n + 1) / F.lit(under))).otherwise(zero)).alias("b"),
+        F.sum(F.when(many, F.log10(n)).otherwise(zero)).alias("m"),
+        F.collect_list(packed).alias("late"))
+    kind, keep = paths.schema["doc_id"].dataType.simpleString(), [
+        c for c in paths.columns if c not in ("path", "far")]
+    named = paths.drop("far").mapInArrow(
+        _classes_on(known.of, keep), f"doc_id {kind}, held_out boolean, uid bigint, {SUMS}, path binary")
+    whole = named.join(late, "uid", "left").select(
+        "doc_id", "held_out", "n_tokens", "n_known", (F.col("base") + F.coalesce("b", zero)).alias("base"),
         (F.col("logs") + F.coalesce("m", zero)).alias("logs"), "path", "late")
     return write(whole.mapInArrow(
-        _cells(known.of), f"doc_id {paths.schema['doc_id'].dataType.simpleString()}, "
-        f"held_out boolean, {SUMS}, bigrams array<struct<cell int, n int>>"), "lm-bigrams").df
+        _cells(under, MANY), f"doc_id {kind}, held_out boolean, {SUMS}, "
+        "bigrams array<struct<cell int, n int>>"), "lm-bigrams", codec="zstd").df
 
 
 def transitions(table: np.ndarray) -> np.ndarray:
